@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -73,7 +74,7 @@ def by_bytes(batches: Iterator[pa.RecordBatch], column: str, limit: int = 4 << 2
         at, n = 0, batch.num_rows
         if not n:
             continue
-        size = np.asarray(pa.compute.fill_null(pa.compute.binary_length(batch.column(column)), 0)).astype(np.int64)
+        size = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0)).astype(np.int64)
         ends = np.cumsum(size)
         while at < n:
             base = ends[at - 1] if at else 0

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, exact_dedup
+from . import byte_bpe, exact_dedup, packing
 
-QUERIES = {"op4_exact_dedup": exact_dedup.op4_exact_dedup, "op6_byte_bpe": byte_bpe.op6_byte_bpe}
+QUERIES = {"op4_exact_dedup": exact_dedup.op4_exact_dedup, "op6_byte_bpe": byte_bpe.op6_byte_bpe, "op9_packing": packing.op9_packing}
 SQL = {"op4_exact_dedup": exact_dedup.SQL_OP4}
