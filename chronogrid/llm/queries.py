@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import byte_bpe, exact_dedup, language_id, lm_score, near_dedup, packing, suffix_dedup
+from . import byte_bpe, exact_dedup, language_id, lm_score, near_dedup, packing, quality, suffix_dedup
 
-QUERIES = {"op1_lm_score": lm_score.op1_lm_score, "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup, "op4_exact_dedup": exact_dedup.op4_exact_dedup, "op6_byte_bpe": byte_bpe.op6_byte_bpe, "op7_near_dedup": near_dedup.op7_near_dedup, "op9_packing": packing.op9_packing, "op10_language_id": language_id.op10_language_id}
+QUERIES = {"op1_lm_score": lm_score.op1_lm_score, "op3_suffix_dedup": suffix_dedup.op3_suffix_dedup, "op4_exact_dedup": exact_dedup.op4_exact_dedup, "op6_byte_bpe": byte_bpe.op6_byte_bpe, "op7_near_dedup": near_dedup.op7_near_dedup, "op8_quality": quality.op8_quality, "op9_packing": packing.op9_packing, "op10_language_id": language_id.op10_language_id}
 SQL = {"op4_exact_dedup": exact_dedup.SQL_OP4}
