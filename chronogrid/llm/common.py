@@ -40,12 +40,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete every scratch table of this application; only once results that read them are written."""
+def made(spark: SparkSession) -> list[str]:
+    """Scratch tables of this application that are still there."""
+    return list(_SCRATCH.get(spark.sparkContext.applicationId, []))
+
+
+def release(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete scratch tables (all of this application's, by default); only once results that read them are written."""
     jvm, jsc = spark.sparkContext._jvm, spark.sparkContext._jsc
-    for path in _SCRATCH.pop(spark.sparkContext.applicationId, []):
+    own = _SCRATCH.get(spark.sparkContext.applicationId, [])
+    for path in made(spark) if paths is None else paths:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(jsc.hadoopConfiguration()).delete(p, True)
+        if path in own:
+            own.remove(path)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

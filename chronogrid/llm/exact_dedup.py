@@ -71,8 +71,8 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield close(True)
 
 
-def exact_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", partitions: int | None = None) -> DataFrame:
-    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256.
+def exact_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", partitions: int | None = None, row: str | None = None) -> DataFrame:
+    """One row per input row: doc_id, keep_id, group_size, kept, text_sha256; with ``row``, a unique long column, that too.
 
     Texts are equal when identical after white space is deleted; the row with the most code points
     stays, ties to the smallest doc_id (nulls last), and among rows that repeat both exactly one stays.
@@ -81,7 +81,7 @@ def exact_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", parti
     spark = df.sparkSession
     p = partitions or shuffle_partitions(spark)
     t = F.coalesce(F.col(text), F.lit(""))
-    rows = df.select(F.col(doc_id).cast("long").alias("__doc"), F.regexp_replace(t, WHITE + "+", "").cast("binary").alias("__norm"), F.char_length(t).cast("long").alias("__cp"), F.monotonically_increasing_id().alias("__row"))
+    rows = df.select(F.col(doc_id).cast("long").alias("__doc"), F.regexp_replace(t, WHITE + "+", "").cast("binary").alias("__norm"), F.char_length(t).cast("long").alias("__cp"), (F.col(row) if row else F.monotonically_increasing_id()).alias("__row"))
     rows = rows.withColumn("__head", F.substring("__norm", 1, SPLITTER_BYTES)).withColumn("__hash", F.xxhash64("__norm"))
     order = [F.col("__head"), F.col("__hash")], [F.col("__cp").desc(), F.col("__doc").asc_nulls_last(), F.col("__row")]
     dealt = rows.repartitionByRange(p, *order[0], *order[1])
@@ -98,6 +98,7 @@ def exact_dedup(df: DataFrame, text: str = "text", doc_id: str = "doc_id", parti
         F.coalesce("__total", "__n").alias("group_size"),
         (F.col("__first") & (F.col("__esha").isNull() | (F.col("__row") == F.col("__best_row")))).alias("kept"),
         F.col("__sha").alias("text_sha256"),
+        *([F.col("__row").alias("row")] if row else []),
     )
 
 
