@@ -5,9 +5,10 @@ the pair is dropped as soon as the posterior chance that its similarity reaches
 the miss probability; survivors are verified exactly on their full shingle sets.
 
 Documents of one shingle set are a class and take part once.  In a bucket every class is compared
-with the bucket's hubs, not with every other; after the components of the links found are known, the
-classes of a bucket outside its main component are compared with all of another component, so no pair
-of a bucket that could still join two components is left out.
+with the bucket's hubs, not with every other.  Once the components of those links are known, classes of
+a bucket outside its main component meet more hubs, and what is apart even then is compared with every
+class it shares a band with, in blocks of bounded size that send on nothing but links; so no pair of a
+bucket that could still join two components is left out.
 """
 
 from __future__ import annotations
@@ -32,6 +33,9 @@ BANDS, ROWS = 32, 4
 BATCH, MISS = 32, 1e-9
 #: Orders in which bands choose their hubs.
 _HUB_SALTS = (0x0, 0x2545F4914F6CDD1D)
+_MORE_SALTS = (0x1B873593CC9E2D51, 0x38B34AE5A1E38B93, 0x4CF5AD432745937F)
+#: Classes of a block in the last comparison.
+BLOCK = 512
 _NODE = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary())])
 
 
@@ -124,6 +128,35 @@ def _confirm(percent: int):
     return run
 
 
+def _blocks(percent: int):
+    """Links between the classes of two blocks of a family that share a band and are of different components so far."""
+    schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    size = BANDS * ROWS
+    cuts = [(k, least_matches(k, percent)) for k in range(BATCH, size + 1, BATCH)]
+
+    def run(key, left: pa.Table, right: pa.Table) -> pa.Table:
+        out: tuple[list[int], list[int]] = ([], [])
+        if left.num_rows and right.num_rows:
+            a, b, ra, rb = left["cid"].to_numpy(), right["cid"].to_numpy(), left["root"].to_numpy(), right["root"].to_numpy()
+            x, y = (np.frombuffer(b"".join(t["sig"].to_pylist()), "<u4").reshape(-1, size) for t in (left, right))
+            u, v = ([np.frombuffer(g, np.uint64) for g in t["grams"].to_pylist()] for t in (left, right))
+            bands = y.reshape(len(y), BANDS, ROWS)
+            for i in range(len(a)):
+                alive = np.flatnonzero((rb != ra[i]) & (bands == x[i].reshape(1, BANDS, ROWS)).all(axis=2).any(axis=1))
+                agree = np.zeros(len(b), np.int64)
+                for k, cut in cuts:
+                    agree[alive] += (y[alive, k - BATCH : k] == x[i, k - BATCH : k]).sum(axis=1)
+                    alive = alive[agree[alive] >= cut]
+                for j in alive.tolist():
+                    both = len(np.intersect1d(u[i], v[j], assume_unique=True))
+                    if 100 * both >= percent * (len(u[i]) + len(v[j]) - both):
+                        out[0].append(a[i])
+                        out[1].append(b[j])
+        return pa.table([pa.array(o, pa.int64()) for o in out], schema=schema)
+
+    return run
+
+
 def _full_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in by_bytes(batches, "__text", 1 << 20):
@@ -170,18 +203,33 @@ def near_dedup(df: DataFrame, words: int = 5, percent: int = 80, text: str = "te
     first = members.where("cid <> hub").select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()
     links = stage(verified(first), "links")
     roots = stage(components(links), "roots")
-    rooted = stage(members.join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("bucket", "hub", "cid", F.coalesce("root", "cid").alias("root")), "rooted")
-    main = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket", F.col("m.root").alias("main"))
-    mixed = rooted.join(main, "bucket")
-    outside = mixed.where("root <> main").select("bucket", F.col("cid").alias("x"), F.col("root").alias("rx"), F.col("hub").alias("hx"))
-    # The hub has been compared with all of its bucket already.
-    again = outside.join(mixed, "bucket").where("rx <> root AND cid <> hub AND x <> hx AND (root = main OR x < cid)")
-    again = again.select(F.least("x", "cid").alias("a"), F.greatest("x", "cid").alias("b")).distinct()
-    more = stage(verified(again), "links")
-    if more.isEmpty():
-        final = roots
-    else:
-        final = components(links.unionAll(more))
+
+    def mixed() -> tuple[DataFrame, DataFrame]:
+        """Members of buckets of several components with their roots, and each such bucket's main component."""
+        rooted = members.select("bucket", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("bucket", "cid", F.coalesce("root", "cid").alias("root"))
+        main = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket", F.col("m.root").alias("main"))
+        return stage(rooted.join(main, "bucket"), "mixed"), main
+
+    # What no hub has linked is compared with more members of its buckets' main components,
+    now, _ = mixed()
+    more_hubs = now.where("root = main").groupBy("bucket").agg(F.array(*[F.min(F.col("cid").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in _MORE_SALTS]).alias("hubs"))
+    again = now.where("root <> main").join(more_hubs, "bucket").select("cid", F.explode("hubs").alias("hub"))
+    more = stage(verified(again.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()), "links")
+    if not more.isEmpty():
+        links = links.unionAll(more)
+        roots = stage(components(links), "roots")
+    # and what is still apart with every member of them, block by block.
+    now, _ = mixed()
+    apart = now.where("root <> main").groupBy("bucket").agg(F.min("cid").alias("one"))
+    family = components(now.select("bucket", "cid").join(apart, "bucket").select(F.col("cid").alias("a"), F.col("one").alias("b")))
+    body = stage(now.groupBy("cid").agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("apart")).join(family.select(F.col("node").alias("cid"), F.col("root").alias("family")), "cid").join(classes.select("cid", "sig"), "cid").join(grams, "cid"), "family")
+    size = body.groupBy("family").agg(F.max(F.lit(1)).alias("one"), (F.ceil(F.count(F.lit(1)) / BLOCK)).cast("long").alias("mb"), F.greatest(F.ceil(F.count_if("apart") / BLOCK), F.lit(1)).cast("long").alias("ib")).drop("one")
+    dealt = body.join(size, "family")
+    lone = dealt.where("apart").withColumn("ic", F.pmod(F.xxhash64("cid"), F.col("ib"))).withColumn("mc", F.explode(F.sequence(F.lit(0).cast("long"), F.col("mb") - 1)))
+    all_ = dealt.withColumn("mc", F.pmod(F.xxhash64("cid"), F.col("mb"))).withColumn("ic", F.explode(F.sequence(F.lit(0).cast("long"), F.col("ib") - 1)))
+    take = ["family", "ic", "mc", "cid", "root", "sig", "grams"]
+    last = stage(lone.select(take).toDF(*take).groupBy("family", "ic", "mc").cogroup(all_.select(take).toDF(*take).groupBy("family", "ic", "mc")).applyInArrow(_blocks(percent), "a long, b long"), "links")
+    final = roots if last.isEmpty() else components(links.unionAll(last))
     labelled = classes.select("cid", "key", "rep").join(final.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = labelled.groupBy("root").agg(F.min("rep").alias("component"))
     by_key = labelled.join(least, "root").select("key", "component")
