@@ -89,7 +89,7 @@ class Weights:
             if room[s]:
                 room[s] -= 1
                 self.kind[i] = s * WIDTH + 2 * PER + room[s]
-        mass = np.bincount(self.kind, self.head_n, SUPERS * WIDTH)
+        mass = np.bincount(self.kind, self.head_n, SUPERS * WIDTH).astype(float)
         self.head_log = np.log10(self.head_n / np.maximum(mass[self.kind], 1))
         self.unseen = np.where(tail_n > 0, (tail_once + 0.5) / (tail_n + 1), 1.0)
         self.tail_n = tail_n
