@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, crc_bucket, documents
+from .common import by_bytes, crc_bucket, documents, stage
 
 #: Labelled rows the model is fitted on, about (a hash sample where there are more); landmarks; plain words that the
 #: machine is trained on; entries of a worker's memo of words.
@@ -218,6 +218,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
     share = min(1.0, fit_rows / max(own.select(F.lit(1)).count(), 1))
     if share < 1:
         own = own.where(F.pmod(F.xxhash64("key", F.lit("toxic")), F.lit(1_000_000)) < int(share * 1_000_000))
+    # Read three times below: the bounded sample is joined and stored once.
+    own = stage(own, "labelled")
     totals = {r.y: r["count"] for r in own.groupBy("y").count().collect()}
     if len(totals) < 2:
         return None
