@@ -11,22 +11,26 @@ from __future__ import annotations
 import random
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import chain
+from unicodedata import is_normalized
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .byte_bpe import byte_map
 from .common import by_bytes, documents, stage
 
 #: Tokens of a sequence; items in a block on average; islands of each block; generations between migrations; chromosomes of an island; epochs after the first.
 CAPACITY, BLOCK, ISLANDS, GENERATIONS, POPULATION, MIGRATIONS = 2048, 4096, 3, 6, 5, 1
 #: Entries of each half of a worker's memo of encoded words; results don't depend on it.
 MEMO = 300_000
-_PART = "\x01"
+#: Fixed value: the pattern of the vocabulary's pre-tokeniser.
+_WORD_PARTS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 _PIECES = "row long, doc_id long, piece int, start long, length long, ids_crc32 long"
 _PIECE_SCHEMA = pa.schema([("row", pa.int64()), ("doc_id", pa.int64()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 
@@ -39,31 +43,42 @@ class WordEncoder:
 
     def __init__(self, path: str | None):
         import public_tokenizers
+        import regex
         from tokenizers import Tokenizer
 
         self.model = Tokenizer.from_file(path or public_tokenizers.path("word_bpe_49k.json"))
         self.model.encode_special_tokens = True
         self.memo: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
-        self.parting = int(self._ids(_PART)[0])
+        self.parts: dict[str, bytes] = {}
+        self.cut = regex.compile(_WORD_PARTS).findall
+        self.to_chars = {b: ord(c) for b, c in enumerate(byte_map())}
         # What Python takes for white space and the tokeniser doesn't.
         self.odd = re.compile("[\x1c-\x1f]").search
 
-    def _ids(self, text: str) -> np.ndarray:
-        return np.array(self.model.encode(text, add_special_tokens=False).ids, "<u4")
+    def _ids(self, text: str) -> bytes:
+        return array("I", self.model.encode(text, add_special_tokens=False).ids).tobytes()
 
     def _learn(self, words: list[str]) -> None:
-        """Words go to the tokeniser many at a time, parted by a character that is a token of its own."""
-        odd = [w for w in words if _PART in w]
-        self.memo.update((w, self._ids(w).tobytes()) for w in odd)
-        plain = [w for w in words if _PART not in w] if odd else words
-        for at in range(0, len(plain), 1000):
-            part = plain[at : at + 1000]
-            ids = self._ids(f" {_PART} ".join(part))
-            cuts = np.flatnonzero(ids == self.parting)
-            raw = ids.tobytes()
-            for w, a, b in zip(part, [0, *(4 * (cuts + 1)).tolist()], [*(4 * cuts).tolist(), len(raw)], strict=True):
-                self.memo[w] = raw[a:b]
+        """Plain words skip the tokeniser's pipeline: lower-cased and cut as its pre-tokeniser does, their parts go to its merges.
+
+        Plain are Latin words in composed form, whose lower case doesn't depend on the place.
+        """
+        memo, parts, merge = self.memo, self.parts, self.model.model.tokenize
+        if len(parts) > MEMO:
+            parts.clear()
+        for w in words:
+            if not w.isascii() and (max(w) >= "\u0250" or "\u0130" in w or not is_normalized("NFC", w)):
+                memo[w] = self._ids(w)
+                continue
+            out = b""
+            for p in self.cut(w.lower()):
+                raw = parts.get(p)
+                if raw is None:
+                    mapped = p if p.isascii() and p.isprintable() else p.encode().decode("latin-1").translate(self.to_chars)
+                    raw = parts[p] = array("I", [t.id for t in merge(mapped)]).tobytes()
+                out += raw
+            memo[w] = out
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         lists = [None if self.odd(t) else t.split() for t in texts]
@@ -77,7 +92,7 @@ class WordEncoder:
         if new := list(new.difference(memo)):
             self._learn(new)
         for t, words in zip(texts, lists):
-            yield self._ids(t).tobytes() if words is None else b"".join(map(memo.__getitem__, words))
+            yield self._ids(t) if words is None else b"".join(map(memo.__getitem__, words))
 
 
 @lru_cache(maxsize=2)
