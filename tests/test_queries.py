@@ -25,8 +25,8 @@ def canonical(df: pd.DataFrame) -> list[tuple]:
             return ""
         if hasattr(v, "strftime"):
             return v.strftime("%Y-%m-%d")
-        if isinstance(v, (float, np.floating)):
-            return f"{v + 0.0:.5f}"
+        if isinstance(v, (int, float, np.number)) and not isinstance(v, bool):
+            return f"{float(v) + 0.0:.5f}"
         return str(v)
 
     return sorted(tuple(cell(v) for v in row) for row in df[sorted(df.columns)].itertuples(index=False))
