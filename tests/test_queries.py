@@ -21,7 +21,7 @@ def duck():
 
 def canonical(df: pd.DataFrame) -> list[tuple]:
     def cell(v):
-        if v is None or v is pd.NaT or isinstance(v, float) and np.isnan(v):
+        if pd.isna(v):
             return ""
         if hasattr(v, "strftime"):
             return v.strftime("%Y-%m-%d")
