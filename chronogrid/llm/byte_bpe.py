@@ -9,7 +9,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 import struct
 from collections.abc import Iterator
 from functools import lru_cache
@@ -22,7 +21,9 @@ from pyspark.sql import functions as F
 from .common import by_bytes, documents
 
 #: Entries of each half of a worker's memo of encoded chunks; when one is full the older goes, results don't depend on it.
-MEMO = 150_000
+MEMO = 250_000
+#: White space other than space and line feed, as Unicode has it; ASCII first.
+_RARE_SPACE = "\t\v\f\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string())])
 
 
@@ -84,9 +85,9 @@ class Codec:
         self.split = regex.compile(pattern).findall
         self.to_chars = {b: ord(c) for b, c in enumerate(byte_map())}
         self.whole = {t: i for i, t in enumerate(tokens)}
-        self.memo: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
-        self.knotted = re.compile(r"\A\s|\s\Z|\s \S|\S \s|\s \s|\S\r").search
+        self.memo: dict[str, tuple[int, str, bytes]] = {}
+        self.older: dict[str, tuple[int, str, bytes]] = {}
+        self.parts: dict[str, tuple[int, str, bytes]] = {}
 
     def _encode_pieces(self, pieces: list[str]) -> list[list[int]]:
         out, wait = [], []
@@ -99,23 +100,55 @@ class Codec:
         ready = iter(self.model.encode(wait, num_threads=1) if wait else ())
         return [x if x is not None else next(ready) for x in out]
 
-    def encode(self, text: str) -> list[int]:
+    @staticmethod
+    def knotted(text: str) -> bool:
+        """Whether white space other than single line breaks and single spaces may stand in the nonempty ``text``."""
+        if "  " in text or " \n" in text or "\n " in text or text[0] == " " or text[-1] == " ":
+            return True
+        return any(w in text for w in (_RARE_SPACE[:8] if text.isascii() else _RARE_SPACE))
+
+    def _chunks(self, text: str) -> list[str]:
         if not text:
             return []
         # Where single spaces stand between other characters, no pre-token reaches over a space from its left.
-        chunks = self.split(text) if self.knotted(text) else text.replace(" ", "\0 ").split("\0") if "\0" not in text else self.split(text)
+        return self.split(text) if "\0" in text or self.knotted(text) else text.replace(" ", "\0 ").split("\0")
+
+    def _learn(self, lists: list[list[str]]) -> dict[str, tuple[int, str, bytes]]:
+        """The memo, with every chunk of ``lists`` in it: number of ids, ids in decimal, their bytes (nothing the garbage collector has to follow)."""
         memo, older = self.memo, self.older
-        if new := set(chunks).difference(memo):
-            if len(memo) > MEMO:
-                self.older, self.memo = older, memo = memo, {}
-                new = set(chunks)
-            memo.update([(c, older[c]) for c in new if c in older])
-            new = list(new.difference(memo))
-            parts = [self.split(c) for c in new]
-            ids = iter(self._encode_pieces(list(chain.from_iterable(parts))))
-            for c, own in zip(new, parts):
-                memo[c] = next(ids) if len(own) == 1 else list(chain.from_iterable(next(ids) for _ in own))
-        return list(chain.from_iterable(map(memo.__getitem__, chunks)))
+        new = set(chain.from_iterable(lists)).difference(memo)
+        if len(memo) > MEMO:
+            self.older, self.memo = older, memo = memo, {}
+            new = set(chain.from_iterable(lists))
+        memo.update([(c, older[c]) for c in new if c in older])
+        if new := list(new.difference(memo)):
+            if len(self.parts) > MEMO:
+                self.parts.clear()
+            known = self.parts
+            cut = [self.split(c) for c in new]
+            wait = list(set(chain.from_iterable(cut)).difference(known))
+            for p, x in zip(wait, self._encode_pieces(wait)):
+                known[p] = len(x), " ".join(map(self.decimal.__getitem__, x)), self.decode(x)
+            for c, own in zip(new, cut):
+                if len(own) == 1:
+                    memo[c] = known[own[0]]
+                else:
+                    n, ids, raw = zip(*map(known.__getitem__, own))
+                    memo[c] = sum(n), " ".join(ids), b"".join(raw)
+        return memo
+
+    def encode(self, text: str) -> list[int]:
+        chunks = self._chunks(text)
+        memo = self._learn([chunks])
+        return [int(i) for c in chunks for i in memo[c][1].split()]
+
+    def digests(self, texts: list[str]) -> Iterator[tuple[int, str, str]]:
+        """Of each text: how many ids, and the sha256 of the ids in decimal and of the bytes they decode to."""
+        lists = [self._chunks(t) for t in texts]
+        memo = self._learn(lists).__getitem__
+        for chunks in lists:
+            n, ids, raw = zip(*map(memo, chunks)) if chunks else ((), (), ())
+            yield sum(n), hashlib.sha256(" ".join(ids).encode()).hexdigest(), hashlib.sha256(b"".join(raw)).hexdigest()
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.tokens.__getitem__, ids))
@@ -166,14 +199,8 @@ def bpe_digests(df: DataFrame, vocabulary: str | None = None, text: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary)
-        sha, word = hashlib.sha256, codec.decimal.__getitem__
         for part in by_bytes(batches, "__text"):
-            n, a, b = [], [], []
-            for t in part.column("__text").to_pylist():
-                ids = codec.encode(t)
-                n.append(len(ids))
-                a.append(sha(" ".join(map(word, ids)).encode()).hexdigest())
-                b.append(sha(codec.decode(ids)).hexdigest())
+            n, a, b = zip(*codec.digests(part.column("__text").to_pylist()))
             yield pa.RecordBatch.from_arrays([part.column("__doc"), pa.array(n, pa.int64()), pa.array(a, pa.string()), pa.array(b, pa.string())], schema=_OUT)
 
     own = df.select(F.col(doc_id).cast("long").alias("__doc"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
