@@ -7,6 +7,7 @@ import tempfile
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -19,13 +20,14 @@ WHITE = r"[\x20\x09-\x0D]"
 _SCRATCH: dict[str, list[str]] = {}
 
 
+@lru_cache(maxsize=8)
+def _own_root(application: str) -> str:
+    return tempfile.mkdtemp(prefix="chronogrid-")
+
+
 def scratch_root(spark: SparkSession) -> str:
-    """The folder all executors share; set here only where the session has none (tests)."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = tempfile.mkdtemp(prefix="chronogrid-")
-        spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    """The folder all executors share; a folder of this machine only where the session names none (tests)."""
+    return spark.conf.get("spark.checkpoint.dir", None) or _own_root(spark.sparkContext.applicationId)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
