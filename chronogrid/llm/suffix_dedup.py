@@ -83,10 +83,15 @@ def _anchors(length: int):
         for part in by_bytes(batches, "text", 1 << 20):
             data, offsets = column_bytes(part.column("text"))
             owner = np.asarray(part.column("owner"))
-            for text, _, _, _, h in runs(data, offsets, length):
-                pairs = np.rec.fromarrays([h, owner[text]], names="h,o")
-                found, n = np.unique(pairs, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(found.h), pa.array(found.o), pa.array(n > 1)], names=["h", "owner", "often"])
+            # Over all tiles, so that what a long text repeats in another tile counts; a run that a tile's edge cuts has one anchor.
+            tiles = [(text, p, h) for text, _, _, p, h in runs(data, offsets, length)]
+            if not tiles:
+                continue
+            text, p, h = map(np.concatenate, zip(*tiles))
+            own = np.concatenate([[True], p[1:] != p[:-1]])
+            pairs = np.rec.fromarrays([h[own], owner[text[own]]], names="h,o")
+            found, n = np.unique(pairs, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found.h), pa.array(found.o), pa.array(n > 1)], names=["h", "owner", "often"])
 
     return run
 

@@ -126,6 +126,23 @@ def test_many_variants_of_an_anchor():
     assert got == {(k, i) for k, s in enumerate(segs) for i in range(len(s) - 199) if seen[s[i : i + 200]] > 1}
 
 
+def test_suffix_dedup_over_the_tiles_of_a_long_text(spark):
+    """A passage that a text of over 1 MiB has once in each of two tiles, and one that lies across the edge."""
+    rng = np.random.default_rng(6)
+    data = rng.integers(97, 123, suffix_dedup.TILE + 150_000).astype(np.uint8)
+    edge, n = suffix_dedup.TILE, 300
+    cuts = [(1000, edge + 90_000), (5000, edge - 120)]
+    for a, b in cuts:
+        data[b : b + n] = data[a : a + n]
+        data[[b - 1, b + n]] = data[[a - 1, a + n]] ^ 32
+    text = data.tobytes()
+    gone = np.zeros(len(data), bool)
+    for x in (x for c in cuts for x in c):
+        gone[x : x + n] = True
+    got = suffix_dedup.suffix_dedup(spark.createDataFrame([(1, text.decode())], "doc_id long, text string")).collect()
+    assert [tuple(r) for r in got] == [(1, len(text), 4 * n, 4, hashlib.sha256(data[~gone].tobytes()).hexdigest())]
+
+
 def test_exact_dedup(spark, corpus, empty):
     df, rows = corpus
     groups = defaultdict(list)
