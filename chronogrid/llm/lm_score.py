@@ -9,8 +9,8 @@ Good-Turing estimate.
 
 Counts cover all training tokens and stay distributed.  Only the head's counts, a bounded table, go
 to the workers; what a document has of the tail is joined to the counts.  Weights start from the
-classes' frequencies and are trained in rounds: tasks update a copy on their share of the documents,
-and the changes are averaged row by row.
+classes' frequencies and are trained in rounds that take every training document once: tasks update a
+copy on their share of the documents, and the changes are averaged row by row.
 """
 
 from __future__ import annotations
@@ -27,8 +27,8 @@ from .common import by_bytes, crc_bucket, documents, stage
 from .shingles import _LOWER, column_bytes, mix, word_hashes
 
 _U = np.uint64
-#: Most tokens in the head, and the least count there; a round trains on one of ROUND_SHARE parts of the training documents.
-HEAD, HEAD_COUNT, ROUNDS, ROUND_SHARE, RATE = 1 << 18, 3, 3, 10, 0.15
+#: Most tokens in the head, and the least count there; rounds, over which all training documents are dealt.
+HEAD, HEAD_COUNT, ROUNDS, RATE = 1 << 18, 3, 3, 0.15
 #: Suffix buckets, super classes, classes in each: per bucket a head and a tail class, then the frequent tokens' own.
 BUCKETS, SUPERS, WIDTH = 64, 16, 16
 PER = BUCKETS // SUPERS
@@ -220,7 +220,7 @@ def fit(train: DataFrame, counts: DataFrame) -> Weights:
     model = Weights(head, head_n, np.maximum(tail_n, 0), once, total, types)
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
-        steps = train.where(F.pmod("part", F.lit(ROUND_SHARE)) == k).select("text").mapInArrow(_round(shared, RATE), "part int, row int, used double, step array<float>")
+        steps = train.where(F.pmod("part", F.lit(ROUNDS)) == k).select("text").mapInArrow(_round(shared, RATE), "part int, row int, used double, step array<float>")
         cells = [F.sum(F.col("step")[i]).alias(f"s{i}") for i in range(WIDTH)]
         # Averages of the tasks' changes, weighted by use: a table of ROWS1 + ROWS2 rows at most.
         for t, own in steps.groupBy("part", "row").agg(F.sum("used").alias("used"), *cells).toPandas().groupby("part"):

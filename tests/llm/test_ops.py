@@ -36,6 +36,21 @@ def test_lm_score(spark, corpus, empty):
     assert len(nothing) == len(rows) and all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in nothing)
 
 
+def test_lm_learns_from_every_training_document(spark):
+    """The n-grams and skips of each document move their weights, whichever round it is dealt to."""
+    from pyspark.sql import functions as F
+
+    texts = [" ".join(f"t{i}w{j}" for j in range(6)) for i in range(60)]
+    train = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("text", F.xxhash64("doc_id").alias("part"))
+    train = train.unionAll(train).unionAll(train)
+    model = lm_score.fit(train, lm_score.count_tokens(train))
+    raw = [t.encode() for t in texts]
+    h, to = lm_score.tokens(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+    at, kind = model.look_up(h)
+    r1, r2 = model.rows(model.features(h, at, to), kind // lm_score.WIDTH)
+    assert (at >= 0).all() and model.w1[r1].any(axis=2).all() and model.w2[r2].any(axis=2).all()
+
+
 def test_lm_classes_sum_to_one():
     rng = np.random.default_rng(0)
     head = np.unique(rng.integers(-(1 << 62), 1 << 62, 500))
