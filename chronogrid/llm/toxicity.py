@@ -1,7 +1,8 @@
 """Toxicity by a subsequence string kernel and a support vector machine over Nyström landmarks.
 
 The kernel of two words sums their common subsequences of ORDER characters, each weighted by DECAY to
-the length it spans in both, so gaps and inserted characters lower a match and don't end it.  Landmarks
+the length it spans in both, so gaps and inserted characters lower a match and don't end it.  A shorter
+word's one subsequence is the whole word, so it matches itself alone.  Landmarks
 are words that labels mark; kernels with them are taken to feature space by the inverse square root of
 the landmarks' own kernel matrix, where a linear SVM parts words of toxic texts from others.  A text is
 as toxic as its worst word, through a sigmoid fitted on the labelled texts.
@@ -25,8 +26,6 @@ from .common import by_bytes, crc_bucket, documents, stage
 FIT_ROWS, LANDMARKS, WORDS, MEMO = 20_000, 128, 20_000, 300_000
 #: Length and gap decay of subsequences; characters of a word compared at a time, and of the overlap between two such pieces.
 ORDER, DECAY, PIECE, OVERLAP = 4, 0.8, 20, 12
-#: Share of a landmark's distinct characters that a word must have for their kernel not to count as 0.
-LETTERS = 0.7
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
 _SINGLES = re.compile(r"(?<!\S)(?:\S[\x20\x09-\x0D]+){2,}\S(?!\S)")
@@ -62,20 +61,10 @@ def _codes(words: list[str], pad: int) -> np.ndarray:
     return out
 
 
-def _masks(words: list[str]) -> np.ndarray:
-    out = np.zeros(len(words), np.uint64)
-    for i, w in enumerate(words):
-        m = 0
-        for c in set(w):
-            m |= 1 << (ord(c) * 0x9E3779B1 >> 7 & 63)
-        out[i] = m
-    return out
-
-
 def _pieces(token: str) -> list[str]:
     w = token.strip(_STRIP)
     if len(w) <= PIECE:
-        return [w] if len(w) >= ORDER else []
+        return [w] if w else []
     return [w[i : i + PIECE] for i in range(0, len(w) - OVERLAP, PIECE - OVERLAP)]
 
 
@@ -90,10 +79,15 @@ class Landmarks:
 
     def __init__(self, words: list[str], weights: np.ndarray | None = None, bias: float = 0.0):
         self.words = words
-        self.masks = _masks(words)
-        self.least = np.maximum(ORDER, np.ceil(LETTERS * np.bitwise_count(self.masks))).astype(np.int64)
         self.codes = _codes(words, -2)
+        self.size = np.array([len(w) for w in words], np.int64)
+        self.short = {w: k for k, w in enumerate(words) if len(w) < ORDER}
         self.own = np.array([self._self(w) for w in words], np.float32)
+        # By character of any landmark, after a row of none: a bit for each place in each landmark.
+        self.letters = np.unique(self.codes[self.codes >= 0])
+        self.places = np.zeros((len(self.letters) + 1, len(words)), np.uint32)
+        for k, i in zip(*np.nonzero(self.codes >= 0)):
+            self.places[np.searchsorted(self.letters, self.codes[k, i]) + 1, k] |= np.uint32(1 << i)
         self.memo: dict[str, float] = {}
         self.weights, self.bias, self.least_margin = weights, bias, -3.0
 
@@ -101,22 +95,45 @@ class Landmarks:
     def _self(word: str) -> float:
         return float(subsequence_kernel(_codes([word], -1), _codes([word], -2))[0])
 
+    def _related(self, codes: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(word, landmark) of the pairs with a common subsequence of ORDER characters; words from the longest on.
+
+        Bits of ``row`` that turn 0 are steps of the longest common subsequence: one addition a character.
+        """
+        at = np.minimum(np.searchsorted(self.letters, codes), max(len(self.letters) - 1, 0))
+        at = np.where(self.letters[at] == codes, at + 1, 0) if len(self.letters) else np.zeros_like(codes)
+        row = np.full((len(codes), len(self.words)), np.uint32(0xFFFFFFFF))
+        for i in range(codes.shape[1]):
+            n = int((size > i).sum())
+            here = self.places[at[:n, i]]
+            row[:n] = (row[:n] + (row[:n] & here)) | (row[:n] & ~here)
+        full = ((np.uint64(1) << self.size.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
+        return np.nonzero(np.bitwise_count(~row & full) >= ORDER)
+
     def kernels(self, words: list[str]) -> np.ndarray:
-        """(words, landmarks) normalised kernels; 0 where too few characters are common."""
+        """(words, landmarks) normalised kernels; 0 only where no subsequence is common."""
         out = np.zeros((len(words), len(self.words)), np.float32)
-        for at in range(0, len(words), 4096):
-            part = words[at : at + 4096]
-            w, k = np.nonzero(np.bitwise_count(_masks(part)[:, None] & self.masks[None, :]) >= self.least[None, :])
-            if not len(w):
-                continue
+        for i, w in enumerate(words):
+            if (k := self.short.get(w)) is not None:
+                out[i, k] = 1
+        long = np.array(sorted((i for i, w in enumerate(words) if len(w) >= ORDER), key=lambda i: -len(words[i])), np.int64)
+        for lo in range(0, len(long), 1024):
+            part = long[lo : lo + 1024]
+            codes = _codes([words[i] for i in part], -1)
+            size = (codes >= 0).sum(axis=1)
+            w, k = self._related(codes, size)
             some, place = np.unique(w, return_inverse=True)
-            codes = _codes([part[i] for i in some], -1)
-            other = np.where(codes == -1, -2, codes)
-            own = subsequence_kernel(codes, other)
-            for a in range(0, len(w), 16384):
-                p, l = place[a : a + 16384], k[a : a + 16384]
-                norm = np.sqrt(own[p] * self.own[l])
-                out[at + w[a : a + 16384], l] = np.where(norm > 0, subsequence_kernel(codes[p], self.codes[l]) / np.maximum(norm, 1e-30), 0)
+            own = np.zeros(len(some), np.float32)
+            for a in range(0, len(some), 256):
+                c = codes[some[a : a + 256], : size[some[a]]]
+                own[a : a + 256] = subsequence_kernel(c, np.where(c == -1, -2, c))
+            # Pairs of like lengths together, so that little is padding.
+            order = np.lexsort((self.size[k], -size[w]))
+            for a in range(0, len(w), 2048):
+                o = order[a : a + 2048]
+                p, l = w[o], k[o]
+                value = subsequence_kernel(codes[p, : size[p].max()], self.codes[l, : self.size[l].max()])
+                out[part[p], l] = value / np.maximum(np.sqrt(own[place[o]] * self.own[l]), 1e-30)
         return out
 
     def learn(self, new: list[str]) -> None:

@@ -206,6 +206,23 @@ def test_toxicity(spark, empty):
     assert toxicity.fit(df.where("toxic = 0")) is None
 
 
+def test_kernels_with_landmarks_are_whole():
+    """Each word meets itself, whatever letters it repeats; only pairs without a common subsequence have 0."""
+    words = ["fuck", "cock", "piss", "boob", "kike", "ass", "no", "blorgface", "facefuck", "aaaa", "réêé", "x" * 20]
+    marks = toxicity.Landmarks(words)
+    others = ["fxuxcxk", "cockk", "p-i-s-s", "boobs", "asss", "ass", "on", "frog", "", "aaa", "wordblorg", "fca", "f" * 20]
+    got = marks.kernels(words + others)
+    codes = lambda w, p: toxicity._codes([w], p)
+    for i, a in enumerate(words + others):
+        for k, b in enumerate(words):
+            n = [min(len(x), toxicity.ORDER) for x in (a, b)]
+            v = lambda x, y: float(toxicity.subsequence_kernel(codes(x, -1), codes(y, -2), n[1])[0])
+            want = v(a, b) / math.sqrt(v(a, a) * v(b, b)) if n[0] == n[1] else 0
+            assert abs(got[i, k] - want) < 1e-5, (a, b)
+    assert (np.diag(got) > 0.999).all() and marks.lift().shape == (len(words),) * 2
+    assert toxicity._pieces("ass!") == ["ass"] and toxicity._pieces("?!") == []
+
+
 def test_kernel_by_hand():
     codes = lambda w, p: toxicity._codes([w], p)
     d = 0.5
