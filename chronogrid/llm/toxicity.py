@@ -4,8 +4,9 @@ The kernel of two words sums their common subsequences of ORDER characters, each
 the length it spans in both, so gaps and inserted characters lower a match and don't end it.  A shorter
 word's one subsequence is the whole word, so it matches itself alone.  Landmarks
 are words that labels mark; kernels with them are taken to feature space by the inverse square root of
-the landmarks' own kernel matrix, where a linear SVM parts words of toxic texts from others.  A text is
-as toxic as its worst word, through a sigmoid fitted on the labelled texts.
+the landmarks' own kernel matrix.  The features of a window of words are the sum of its words'; a linear
+SVM learns the labels of texts from each text's worst window, which is chosen anew in every round, first by
+a machine trained on marked words.  A text is as toxic as its worst window, through a sigmoid.
 """
 
 from __future__ import annotations
@@ -26,6 +27,8 @@ from .common import by_bytes, crc_bucket, documents, stage
 FIT_ROWS, LANDMARKS, WORDS, MEMO = 20_000, 128, 20_000, 300_000
 #: Length and gap decay of subsequences; characters of a word compared at a time, and of the overlap between two such pieces.
 ORDER, DECAY, PIECE, OVERLAP = 4, 0.8, 20, 12
+#: Words of the windows that are tried; rounds of choosing windows and training on them.
+WINDOWS, ROUNDS = (1, 2, 4, 8), 3
 #: Score from which a text counts as toxic.
 THRESHOLD = 0.3
 _SINGLES = re.compile(r"(?<!\S)(?:\S[\x20\x09-\x0D]+){2,}\S(?!\S)")
@@ -74,11 +77,17 @@ def tokens(text: str) -> set[str]:
     return set(low.split()) | {"".join(x.split()) for x in _SINGLES.findall(low)}
 
 
+def ordered(text: str) -> list[str]:
+    """As tokens, in the text's order and as often as there; runs of single characters last."""
+    low = text.lower()
+    return low.split() + ["".join(x.split()) for x in _SINGLES.findall(low)]
+
+
 class Landmarks:
     """Kernels with the landmarks, remembered by word."""
 
-    def __init__(self, words: list[str], weights: np.ndarray | None = None, bias: float = 0.0):
-        self.words = words
+    def __init__(self, words: list[str], weights: np.ndarray | None = None, bias: float = 0.0, windows: tuple[int, ...] = WINDOWS):
+        self.words, self.windows = words, windows
         self.codes = _codes(words, -2)
         self.size = np.array([len(w) for w in words], np.int64)
         self.short = {w: k for k, w in enumerate(words) if len(w) < ORDER}
@@ -89,7 +98,7 @@ class Landmarks:
         for k, i in zip(*np.nonzero(self.codes >= 0)):
             self.places[np.searchsorted(self.letters, self.codes[k, i]) + 1, k] |= np.uint32(1 << i)
         self.memo: dict[str, float] = {}
-        self.weights, self.bias, self.least_margin = weights, bias, -3.0
+        self.weights, self.bias = weights, bias
 
     @staticmethod
     def _self(word: str) -> float:
@@ -137,24 +146,54 @@ class Landmarks:
         return out
 
     def learn(self, new: list[str]) -> None:
-        """Put tokens' margins into the memo; those that share nothing with a landmark have the least."""
+        """Put tokens' values into the memo, each its greatest piece's; 0 for those that share nothing with a landmark."""
         cut = [(t, p) for t in new for p in _pieces(t)]
-        values = self.kernels([p for _, p in cut])
-        some = np.flatnonzero(values.any(axis=1))
-        self.memo.update(dict.fromkeys(new, self.least_margin))
-        for i, v in zip(some.tolist(), (values[some] @ self.weights + self.bias).tolist()):
-            t = cut[i][0]
-            self.memo[t] = max(v, self.memo[t])
-
-    def margins(self, texts: list[str]) -> np.ndarray:
-        """The largest margin of any word of each text."""
-        sets = [tokens(t) for t in texts]
+        best: dict[str, float] = {}
+        for (t, _), v in zip(cut, (self.kernels([p for _, p in cut]) @ self.weights).tolist()):
+            best[t] = max(v, best.get(t, v))
+        self.memo.update({t: best.get(t, 0.0) for t in new})
+
+    def _worst(self, texts: list[str]) -> list[tuple[float, list[str]]]:
+        """Value and tokens of the window of each text whose sum is greatest; none where no sum is over 0."""
+        lists = [ordered(t) for t in texts]
         if len(self.memo) > MEMO:
             self.memo.clear()
-        if new := list(set().union(*sets).difference(self.memo)):
+        if new := list(set().union(*lists).difference(self.memo)):
             self.learn(new)
         look = self.memo.__getitem__
-        return np.array([max(map(look, s), default=self.least_margin) for s in sets], np.float64)
+        out: list[tuple[float, list[str]]] = []
+        for words in lists:
+            sums = np.zeros(len(words) + 1)
+            np.cumsum(np.fromiter(map(look, words), np.float64, len(words)), out=sums[1:])
+            best, at, size = 0.0, 0, 0
+            for n in self.windows:
+                if n <= len(words):
+                    own = sums[n:] - sums[:-n]
+                    i = int(own.argmax())
+                    if own[i] > best:
+                        best, at, size = float(own[i]), i, n
+            out.append((best, words[at : at + size]))
+        return out
+
+    def margins(self, texts: list[str]) -> np.ndarray:
+        """The margin of each text's worst window."""
+        return np.array([v for v, _ in self._worst(texts)], np.float64) + self.bias
+
+    def worst(self, texts: list[str]) -> np.ndarray:
+        """(texts, landmarks) kernels of each text's worst window."""
+        windows = [w for _, w in self._worst(texts)]
+        cut = [(t, p) for t in set().union(*windows) for p in _pieces(t)]
+        values = self.kernels([p for _, p in cut])
+        best: dict[str, tuple[float, int]] = {}
+        for i, ((t, _), v) in enumerate(zip(cut, (values @ self.weights).tolist())):
+            if t not in best or v > best[t][0]:
+                best[t] = v, i
+        out = np.zeros((len(texts), len(self.words)), np.float32)
+        for i, w in enumerate(windows):
+            for t in w:
+                if t in best:
+                    out[i] += values[best[t][1]]
+        return out
 
     def lift(self) -> np.ndarray:
         """Inverse square root of the landmarks' kernel matrix: the Nyström map."""
@@ -168,11 +207,12 @@ class Landmarks:
 class Model:
     """Landmarks, word weights over the kernels with them, and the sigmoid of a text's margin."""
 
-    def __init__(self, landmarks: list[str], weights: np.ndarray, bias: float, slope: float = 1.0, offset: float = 0.0):
+    def __init__(self, landmarks: list[str], weights: np.ndarray, bias: float, slope: float = 1.0, offset: float = 0.0, windows: tuple[int, ...] = WINDOWS):
+        self.windows = windows
         self.landmarks, self.weights, self.bias, self.slope, self.offset = landmarks, weights, bias, slope, offset
 
     def words(self) -> Landmarks:
-        return Landmarks(self.landmarks, self.weights, self.bias)
+        return Landmarks(self.landmarks, self.weights, self.bias, self.windows)
 
     def score(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.offset, -30, 30)))
@@ -229,6 +269,16 @@ def _word_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def _windows(model):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        here = model.value.words()
+        for part in by_bytes(batches, "text", 1 << 20):
+            x = here.worst(part.column("text").to_pylist())
+            yield pa.RecordBatch.from_arrays([part.column("y"), pa.ListArray.from_arrays(np.arange(len(x) + 1, dtype=np.int32) * x.shape[1], x.ravel())], names=["y", "x"])
+
+    return run
+
+
 def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS) -> Model | None:
     """A model of labelled texts; None where either label is missing.  Null labels teach nothing."""
     own = labelled.where(F.col(label).isNotNull()).select(F.col(key).alias("key"), (F.col(label) > 0).cast("int").alias("y"), F.coalesce(F.col(text), F.lit("")).alias("text"))
@@ -257,6 +307,11 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
     y = np.concatenate([np.ones(len(words)), np.zeros(len(plain))])[near]
     w, b = train_svm(x[near] @ lift, y, np.concatenate([[r.bad for r in marked], np.ones(len(plain))])[near])
     model = Model(marks.words, lift @ w, b)
+    for _ in range(ROUNDS):
+        rows = own.select("y", "text").mapInArrow(_windows(own.sparkSession.sparkContext.broadcast(model)), "y int, x array<float>").toPandas()
+        x, y = np.stack(rows["x"].to_numpy()).astype(np.float64), rows["y"].to_numpy()
+        w, b = train_svm(x @ lift, y, np.ones(len(y)), steps=1000)
+        model = Model(marks.words, lift @ w, b)
     shared = own.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -265,7 +320,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
             yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(here.margins(part.column("text").to_pylist()))], names=["y", "x"])
 
     rows = own.select("y", "text").mapInArrow(run, "y int, x double").toPandas()
-    return Model(marks.words, lift @ w, b, *_sigmoid(rows["x"].to_numpy(), rows["y"].to_numpy()))
+    return Model(marks.words, model.weights, model.bias, *_sigmoid(rows["x"].to_numpy(), rows["y"].to_numpy()))
 
 
 def score(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:

@@ -206,6 +206,25 @@ def test_toxicity(spark, empty):
     assert toxicity.fit(df.where("toxic = 0")) is None
 
 
+def test_toxicity_of_two_words_together(spark):
+    """Words that are toxic side by side and not alone, as texts' labels say."""
+    import random
+
+    rng = random.Random(3)
+    words = "the of and stone river lamp carried walking slowly evening market".split()
+    rows = []
+    for i in range(400):
+        t = rng.choices(words, k=20)
+        if i % 4 == 0:
+            t[3:5] = ["grobnik", "snurkling"]
+        elif i % 4 == 1 and i % 3 == 0:
+            t[3] = "grobnik" if i % 24 == 9 else "snurkling"
+        rows.append((i, " ".join(t), int(i % 4 == 0)))
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    got = {r.doc_id: r.score for r in toxicity.score(df.drop("toxic"), toxicity.fit(df)).collect()}
+    assert min(got[i] for i, _, y in rows if y) > max(got[i] for i, _, y in rows if not y)
+
+
 def test_kernels_with_landmarks_are_whole():
     """Each word meets itself, whatever letters it repeats; only pairs without a common subsequence have 0."""
     words = ["fuck", "cock", "piss", "boob", "kike", "ass", "no", "blorgface", "facefuck", "aaaa", "réêé", "x" * 20]
