@@ -110,6 +110,15 @@ def test_suffix_dedup(spark, corpus, empty, monkeypatch, held, few):
     assert suffix_dedup.suffix_dedup(empty).count() == 0
 
 
+def test_suffix_dedup_by_whole_strings(spark, corpus, monkeypatch):
+    """Anchors of more than SORTED variants, in a task, give what sorting gives."""
+    monkeypatch.setattr(suffix_dedup, "SORTED", 1)
+    monkeypatch.setattr(suffix_dedup, "_by_sorting", None)
+    df, rows = corpus
+    want = sorted((r[0], *s) for r, s in zip(rows, spans([(r[1] or "").encode() for r in rows])))
+    assert sorted(tuple(r) for r in suffix_dedup.suffix_dedup(df).collect()) == want
+
+
 def test_suffix_mergesort():
     rng = np.random.default_rng(1)
     data = rng.integers(97, 99, 600).astype(np.uint8)
