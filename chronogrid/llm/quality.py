@@ -1,122 +1,243 @@
 """Quality classifier by hierarchical empirical Bayes.
 
-A document's own evidence (a naive Bayes log-odds of binned text statistics) is combined with the
-posteriors of its host and of the path under it.  Site rates are found by grouped sums over labelled
-and, through the document classifier, unlabelled rows; each level is shrunk toward the one above by a
-prior strength estimated from the spread of the sites' own rates, so sparse sites follow the global prior.
+A document's own evidence is a naive Bayes log-odds of binned text statistics and one of hashed words,
+weighed by a logistic curve.  It is combined with the posteriors of its host and of the path under it.
+Site rates are grouped sums over all documents: a labelled one counts by its label, any other by the
+document classifier's probability.  Each level is shrunk toward the one above by a prior strength
+estimated from the spread of the sites' own rates, so sparse sites follow the global prior.
+
+The texts are read once for scores and never shuffled; what is grouped and joined are rows of a few numbers.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import documents
+from .common import by_bytes, documents, stage
+from .shingles import column_bytes, word_hashes
 
-#: Labelled rows the document classifier is fitted on, about (a hash sample where there are more); equal-width bins of each statistic.
-FIT_ROWS, BINS = 50_000, 12
+#: Labelled documents the document classifier is fitted on, about (a hash sample of the labels where there are more);
+#: equal-width bins of each statistic; buckets of hashed words.
+FIT_ROWS, BINS, BUCKETS = 50_000, 12, 1 << 12
 #: Probability of good quality under which a document is rejected; how much a site can move a document's log-odds.
 REJECT, SITE_WEIGHT = 0.4, 0.5
-
-
-def statistics(text: str) -> dict[str, Column]:
-    """Statistics of a text, each scaled to 0 .. 1; all from built-in functions over the whole text."""
-    t = F.coalesce(F.col(text), F.lit(""))
-    n = F.greatest(F.char_length(t), F.lit(1))
-    words = F.filter(F.split(t, r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    n_words = F.greatest(F.size(words), F.lit(1))
-    gone = lambda chars: F.char_length(t) - F.char_length(F.translate(t, chars, ""))
-    capital = "".join(map(chr, range(65, 91)))
-    return {
-        "symbols": gone("#$%&*!|<>{}[]~^=+\\/@_") / n * 4,
-        "capitals": gone(capital) / n,
-        "digits": gone("0123456789") / n * 2,
-        "stops": gone(".,;:?") / n_words * 2,
-        "distinct": F.size(F.array_distinct(words)) / n_words,
-        "word_length": n / n_words / 24,
-        "length": F.log(n.cast("double")) / 14,
-    }
-
-
-def _bins(text: str, bins: int) -> list[Column]:
-    return [F.least(F.greatest(F.floor(x * bins), F.lit(0)), F.lit(bins - 1)).cast("int").alias(f"__{k}") for k, x in statistics(text).items()]
+#: A site is hot from one in HOT of all documents, so HOT sites at most are; salts that its documents are dealt over.
+HOT, SALTS = 1000, 64
+STATISTICS = ("symbols", "capitals", "digits", "stops", "distinct", "word_length", "length")
+RESULT = ("evidence", "host_rate", "path_rate", "quality_score", "accepted")
+
+
+def _class(chars: str) -> np.ndarray:
+    out = np.zeros(256, bool)
+    out[list(chars.encode())] = True
+    return out
+
+
+_SYMBOLS, _STOPS = _class("#$%&*!|<>{}[]~^=+\\/@_"), _class(".,;:?")
+_CAPITALS, _DIGITS = _class("".join(map(chr, range(65, 91)))), _class("0123456789")
+
+
+def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each text: the bin of every statistic (texts, statistics), and the buckets of its distinct words
+    with the offsets by text."""
+
+    def count(inside: np.ndarray) -> np.ndarray:
+        return np.diff(np.concatenate([[0], np.cumsum(inside)])[offsets]).astype(float)
+
+    h, _, _, at = word_hashes(data, offsets)
+    owner = np.repeat(np.arange(len(at) - 1), np.diff(at))
+    order = np.lexsort((h, owner))
+    h, owner = h[order], owner[order]
+    new = np.concatenate([[True], (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])])[: len(h)]
+    h, owner = h[new], owner[new]
+    distinct = np.searchsorted(owner, np.arange(len(at)))
+    chars = np.maximum(count((data & 0xC0) != 0x80), 1)
+    words = np.maximum(np.diff(at), 1)
+    x = np.stack(
+        [
+            count(_SYMBOLS[data]) / chars * 4,
+            count(_CAPITALS[data]) / chars,
+            count(_DIGITS[data]) / chars * 2,
+            count(_STOPS[data]) / words * 2,
+            np.diff(distinct) / words,
+            chars / words / 24,
+            np.log(chars) / 14,
+        ],
+        axis=1,
+    )
+    return np.clip(np.floor(x * BINS), 0, BINS - 1).astype(np.int64), (h & np.uint64(BUCKETS - 1)).astype(np.int64), distinct
 
 
 class Evidence:
-    """Log-odds of good quality for every bin of every statistic."""
-
-    def __init__(self, prior: float, table: dict[str, list[float]]):
-        self.prior, self.table = prior, table
-
-    def log_odds(self) -> Column:
-        """From the columns of _bins; statistics overlap, so their sum is damped."""
-        parts = [F.element_at(F.array(*[F.lit(float(v)) for v in own]), F.col(f"__{k}") + 1) for k, own in self.table.items()]
-        return F.lit(self.prior) + sum(parts[1:], parts[0]) * F.lit(0.8)
-
-
-def fit(labelled: DataFrame, text: str = "text", label: str = "quality", key: str = "doc_id", fit_rows: int = FIT_ROWS, bins: int = BINS) -> Evidence:
-    """Bin frequencies of labelled rows, by one grouped sum; null labels teach nothing."""
-    own = labelled.where(F.col(label).isNotNull())
-    share = min(1.0, fit_rows / max(own.select(F.lit(1)).count(), 1))
+    """Log-odds of good quality for every bin and word bucket, and the curve that weighs their two sums."""
+
+    def __init__(self, prior: float, bins: np.ndarray, words: np.ndarray, curve: tuple[float, float, float] = (0.0, 0.0, 0.0)):
+        self.prior, self.bins, self.words, self.curve = prior, bins, words, curve
+
+    def sums(self, texts: pa.Array) -> np.ndarray:
+        """(texts, 2): the sum over statistics and the mean over distinct words."""
+        b, w, at = features(*column_bytes(texts))
+        mean = np.diff(np.concatenate([[0.0], np.cumsum(self.words[w])])[at]) / np.maximum(np.diff(at), 1)
+        return np.stack([self.bins[np.arange(len(STATISTICS)), b].sum(axis=1), mean], axis=1)
+
+    def log_odds(self, texts: pa.Array) -> np.ndarray:
+        a, b, c = self.curve
+        return self.sums(texts) @ np.array([a, b]) + c
+
+
+def _curve(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
+    """Logistic weights of two sums and a constant, by Newton steps with a small ridge that keeps signs sound."""
+    if not len(y):
+        return 0.0, 0.0, 0.0
+    design, w = np.column_stack([x, np.ones(len(x))]), np.zeros(3)
+    ridge = np.diag([1.0, 1.0, 1e-3])
+    for _ in range(40):
+        p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
+        step = np.linalg.solve((design * np.maximum(p * (1 - p), 1e-6)[:, None]).T @ design + ridge, design.T @ (p - y) + ridge @ w)
+        w = w - step / max(1.0, np.abs(step).max() / 2)
+    return float(w[0]), float(w[1]), float(w[2])
+
+
+def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How many texts of each label have each bin and each word bucket."""
+    size = len(STATISTICS) * BINS + BUCKETS
+    n = np.zeros((2, size), np.int64)
+    for part in by_bytes(batches, "text", 2 << 20):
+        y = np.asarray(part.column("y")).astype(np.int64)
+        b, w, at = features(*column_bytes(part.column("text")))
+        for k in range(len(STATISTICS)):
+            np.add.at(n, (y, k * BINS + b[:, k]), 1)
+        owner = np.repeat(np.arange(len(y)), np.diff(at))
+        pairs = np.unique(owner * BUCKETS + w)  # a text counts once in a bucket
+        np.add.at(n, (y[pairs // BUCKETS], len(STATISTICS) * BINS + pairs % BUCKETS), 1)
+    i, j = np.nonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(i.astype(np.int32)), pa.array(j.astype(np.int32)), pa.array(n[i, j])], names=["y", "cell", "n"])
+
+
+def _sums(model: Evidence):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in by_bytes(batches, "text", 2 << 20):
+            x = model.sums(part.column("text"))
+            yield pa.RecordBatch.from_arrays([part.column("key"), part.column("y"), pa.array(x[:, 0]), pa.array(x[:, 1])], names=["key", "y", "s", "w"])
+
+    return run
+
+
+def one_label(labels: DataFrame, label: str = "quality", key: str = "doc_id") -> DataFrame:
+    """(key, y) of each labelled id: 1 where any label is over 0; null labels and ids teach nothing."""
+    return labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("key")).agg(F.max((F.col(label) > 0).cast("int")).alias("y"))
+
+
+def fit(docs: DataFrame, known: DataFrame, text: str = "text", doc_id: str = "doc_id", fit_rows: int = FIT_ROWS) -> Evidence:
+    """A document classifier of ``docs`` and the labels ``known`` (key, y).
+
+    About ``fit_rows`` labels at most are taken, before any text is looked at, and broadcast.  Half of their
+    documents give the frequencies, the other half the curve.  Without either label there is no evidence but
+    the prior.
+    """
+    share = min(1.0, fit_rows / max(known.count(), 1))
     if share < 1:
-        own = own.where(F.pmod(F.xxhash64(F.col(key), F.lit("quality")), F.lit(1_000_000)) < int(share * 1_000_000))
-    names = list(statistics(text))
-    cells = own.select(F.col(label).cast("int").alias("y"), *_bins(text, bins)).select("y", F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.col(f"__{k}").alias("b")) for k in names])).alias("x")).groupBy("y", "x.k", "x.b").count().collect()
-    n = {(r.y, r.k, r.b): r["count"] for r in cells}
-    total = {y: sum(v for (yy, k, _), v in n.items() if yy == y and k == names[0]) for y in (0, 1)}
-    # Class-conditional rates, so that the share of good labels enters once, as the prior.
-    table = {k: [math.log((n.get((1, k, b), 0) + 0.5) / (total[1] + 0.5 * bins)) - math.log((n.get((0, k, b), 0) + 0.5) / (total[0] + 0.5 * bins)) for b in range(bins)] for k in names}
-    return Evidence(math.log((total[1] + 1) / (total[0] + 1)), table)
+        known = known.where(F.pmod(F.xxhash64("key", F.lit("quality")), F.lit(1_000_000)) < int(share * 1_000_000))
+    own = docs.select(F.col(doc_id).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(known), "key")
+    own = stage(own.select("key", "y", "text"), "fit")
+    half = F.pmod(F.xxhash64("key", F.lit("half")), F.lit(2))
+    n = np.zeros((2, len(STATISTICS) * BINS + BUCKETS))
+    for r in own.where(half == 0).select("y", "text").mapInArrow(_cells, "y int, cell int, n long").groupBy("y", "cell").agg(F.sum("n").alias("n")).collect():
+        n[r.y, r.cell] = r.n
+    total = n[:, :BINS].sum(axis=1)
+    # Class-conditional rates, so that the share of good labels enters once, through the curve.
+    bins = n[:, : len(STATISTICS) * BINS].reshape(2, len(STATISTICS), BINS)
+    rate = np.log((bins + 0.5) / (total[:, None, None] + 0.5 * BINS))
+    words = np.log((n[:, len(STATISTICS) * BINS :] + 1) / (total[:, None] + 2))
+    model = Evidence(0.0, rate[1] - rate[0], words[1] - words[0])
+    # One row an id, so that a bounded number comes to the driver however often documents repeat.
+    rows = own.where(half == 1).mapInArrow(_sums(model), "key long, y int, s double, w double").groupBy("key").agg(F.min(F.struct("y", "s", "w")).alias("x")).select("x.*").toPandas()
+    y = rows["y"].to_numpy(float)
+    if min(total) == 0:
+        good, all_ = total[1] + y.sum(), total.sum() + len(y)
+        return Evidence(0.0, bins[0] * 0, words[0] * 0, (0.0, 0.0, math.log((good + 1) / (all_ - good + 1))))
+    model.curve = _curve(rows[["s", "w"]].to_numpy(float), y)
+    return model
+
+
+def _strength(rates: DataFrame) -> float:
+    """Prior strength of a level by the method of moments: mean (1 - mean) / between-site variance - 1."""
+    r = rates.where("n >= 5").agg(F.sum("good").alias("g"), F.sum("n").alias("n"), F.sum(F.col("good") * F.col("good") / F.col("n")).alias("q"), F.count(F.lit(1)).alias("k"), F.sum(F.col("n").cast("double") * F.col("n")).alias("n2")).first()
+    return strength(r.g, r.n, r.q, r.k, r.n2)
 
 
-def _strength(rates: DataFrame, good: str, n: str) -> float:
-    """Prior strength of a level by the method of moments: mean (1 - mean) / between-site variance - 1."""
-    r = rates.where(F.col(n) >= 5).agg(F.sum(good).alias("g"), F.sum(n).alias("n"), F.sum(F.col(good) * F.col(good) / F.col(n)).alias("q"), F.count(F.lit(1)).alias("k"), F.sum(F.col(n) * F.col(n)).alias("n2")).first()
-    if not r.k or r.k < 2 or not r.n:
+def strength(g: float | None, n: int | None, q: float | None, k: int, n2: float | None) -> float:
+    """From sums over sites: good, n, good ** 2 / n, 1, n ** 2."""
+    if not k or k < 2 or not n:
         return 100.0
-    m = r.g / r.n
-    spread = r.q - r.n * m * m
+    m = g / n
     within = m * (1 - m)
-    between = (spread - (r.k - 1) * within) / max(r.n - r.n2 / r.n, 1e-9)
+    between = (q - n * m * m - (k - 1) * within) / max(n - n2 / n, 1e-9)
     return min(max(within / between - 1, 2.0), 10_000.0) if between > 1e-12 else 10_000.0
 
 
-def score(df: DataFrame, evidence: Evidence, text: str = "text", host: Column | None = None, path: Column | None = None, bins: int = BINS) -> DataFrame:
-    """``df`` with evidence, host_rate, path_rate, quality_score (0 to 1) and accepted.
+def judge(docs: DataFrame, labels: DataFrame, keep: list[str], text: str = "text", doc_id: str = "doc_id", host: Column | None = None, path: Column | None = None) -> DataFrame:
+    """(row, evidence, host_rate, path_rate, quality_score, accepted): a row for each of ``docs``.
 
-    Null text counts as empty, null host or path as the site ''.  The two tables of sites are
-    aggregates that are joined back; rows of one hot site are pre-aggregated in their own tasks.
+    ``row`` is a struct of the columns ``keep``, so that no name of theirs can clash.  Null text counts as
+    empty, a null host or path as the site ''.
     """
-    names = df.columns
-    odds = evidence.log_odds()
-    own = df.withColumn("__host", F.coalesce(host, F.lit("")) if host is not None else F.lit("")).withColumn("__path", F.coalesce(path, F.lit("")) if path is not None else F.lit("")).withColumns({f"__{k}": b for k, b in zip(evidence.table, _bins(text, bins))})
-    own = own.withColumn("__odds", odds).withColumn("__p", 1 / (1 + F.exp(-F.col("__odds"))))
-    paths = own.groupBy("__host", "__path").agg(F.sum("__p").alias("good"), F.count(F.lit(1)).alias("n")).persist()
-    hosts = paths.groupBy("__host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
+    known = stage(one_label(labels), "labels")
+    model = fit(docs, known, text, doc_id)
+    shape = T.StructType([docs.schema[c] for c in keep])
+    site = lambda c: F.coalesce(c.cast("string"), F.lit("")) if c is not None else F.lit("")
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(doc_id).cast("long").alias("key"), site(host).alias("host"), site(path).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in by_bytes(batches, "text", 2 << 20):
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("row", "key", "host", "path")), pa.array(model.log_odds(part.column("text")))], names=["row", "key", "host", "path", "odds"])
+
+    fields = [T.StructField("row", shape), T.StructField("key", T.LongType()), T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("odds", T.DoubleType())]
+    scored = stage(own.mapInArrow(run, T.StructType(fields)), "scored")
+    good = F.coalesce(F.col("y").cast("double"), 1 / (1 + F.exp(-F.col("odds"))))
+    paths = stage(scored.select("key", "host", "path", "odds").join(known, "key", "left").groupBy("host", "path").agg(F.sum(good).alias("good"), F.count(F.lit(1)).alias("n")), "paths")
+    hosts = paths.groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
     total = hosts.agg(F.coalesce(F.sum("good"), F.lit(0.0)).alias("g"), F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first()
     base = (total.g + 1) / (total.n + 2)
-    kh, kp = _strength(hosts, "good", "n"), _strength(paths, "good", "n")
-    rated = hosts.select("__host", ((F.col("good") + kh * base) / (F.col("n") + kh)).alias("host_rate"))
-    sites = paths.join(rated, "__host").select("__host", "__path", "host_rate", ((F.col("good") + kp * F.col("host_rate")) / (F.col("n") + kp)).alias("path_rate"))
-    logit = lambda p: F.log(F.greatest(F.least(p, F.lit(1 - 1e-6)), F.lit(1e-6)) / (1 - F.greatest(F.least(p, F.lit(1 - 1e-6)), F.lit(1e-6))))
-    joined = own.join(sites, ["__host", "__path"])
-    moved = F.col("__odds") + SITE_WEIGHT * (logit(F.col("path_rate")) - F.lit(math.log(base / (1 - base))))
-    out = joined.withColumn("quality_score", 1 / (1 + F.exp(-moved)))
-    return out.select(*names, F.col("__odds").alias("evidence"), "host_rate", "path_rate", "quality_score", (F.col("quality_score") >= REJECT).alias("accepted"))
+    kh, kp = _strength(hosts), _strength(paths)
+    rated = hosts.select("host", ((F.col("good") + kh * base) / (F.col("n") + kh)).alias("host_rate"))
+    sites = paths.join(rated, "host").select("host", "path", "n", "host_rate", ((F.col("good") + kp * F.col("host_rate")) / (F.col("n") + kp)).alias("path_rate"))
+    # A hot site's documents are dealt over SALTS keys; at most HOT sites can be hot, so that list is broadcast.
+    hot = F.col("n") * HOT >= total.n
+    salted = sites.withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("n")
+    marked = scored.join(F.broadcast(paths.where(hot).select("host", "path", F.lit(True).alias("hot"))), ["host", "path"], "left")
+    dealt = marked.withColumn("salt", F.when(F.col("hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).otherwise(0))
+    inside = lambda p: F.greatest(F.least(p, F.lit(1 - 1e-6)), F.lit(1e-6))
+    moved = F.col("odds") + SITE_WEIGHT * (F.log(inside(F.col("path_rate")) / (1 - inside(F.col("path_rate")))) - F.lit(math.log(base / (1 - base))))
+    out = dealt.join(salted, ["host", "path", "salt"]).withColumn("quality_score", 1 / (1 + F.exp(-moved)))
+    return out.select("row", F.col("odds").alias("evidence"), "host_rate", "path_rate", "quality_score", (F.col("quality_score") >= REJECT).alias("accepted"))
+
+
+def site_columns() -> tuple[Column, Column]:
+    """Host and path of a document: its source up to a slash, and what follows with the language."""
+    return F.substring_index("source", "/", 1), F.concat_ws("/", F.substring_index("source", "/", -1), F.col("lang"))
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """``docs`` scored by a classifier fitted on ``labels``; host is the source up to a slash, path what follows and the language."""
-    one = labels.where(F.col("quality").isNotNull()).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    evidence = fit(docs.select("doc_id", "text").join(one, "doc_id"))
-    host = F.substring_index("source", "/", 1)
-    path = F.concat_ws("/", F.substring_index("source", "/", -1), F.col("lang"))
-    return score(docs, evidence, "text", host, path)
+    """``docs`` with evidence (log-odds), host_rate, path_rate, quality_score (0 to 1) and accepted.
+
+    Null texts count as empty ones, null sources and languages as ''; repeated rows each get the same
+    scores and count as often in their sites; an empty table gives an empty result; with no labels every
+    document has the prior's score.  An input column that is named like a result gives way to it.
+    """
+    kept = [c for c in docs.columns if c not in RESULT]
+    host, path = site_columns()
+    return judge(docs, labels, kept, host=host, path=path).select("row.*", *RESULT)
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents(spark, sf_dir).select("doc_id", "text", "lang", "source")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return classify(docs, labels).select("doc_id", "evidence", "host_rate", "path_rate", "quality_score", "accepted")
+    host, path = site_columns()
+    return judge(documents(spark, sf_dir), labels, ["doc_id"], host=host, path=path).select("row.doc_id", *RESULT)

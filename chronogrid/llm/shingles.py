@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import lru_cache
 
 import numpy as np
@@ -10,6 +11,8 @@ import pyarrow as pa
 _U = np.uint64
 #: An odd base, so that its powers have inverses modulo 2 ** 64.
 BASE = 0x9E3779B97F4A7C15 | 1
+#: Start of the words' hashes; bytes from which a word is hashed by a cryptographic function.
+_KEY, _LONG = 0x5851F42D4C957F2D, 512
 #: The white-space bytes of the contracts.
 _WHITE = np.zeros(256, bool)
 _WHITE[[0x20, *range(0x09, 0x0E)]] = True
@@ -70,13 +73,27 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     starts = np.flatnonzero(inside & (~prev | cut[:n]))
     after = np.concatenate([~inside[1:] | cut[1:n], [True]])
     ends = np.flatnonzero(inside & after) + 1
+    return _hash_ranges(low, starts, ends), starts, ends, np.searchsorted(starts, offsets)
+
+
+def _hash_ranges(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the byte ranges: eight bytes are stirred in at a time, so that nothing is linear in them."""
+    size = ends - starts
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    lanes = np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
     with np.errstate(over="ignore"):
-        up = powers(n + 1)
-        pre = np.concatenate([[_U(0)], np.cumsum((low.astype(_U) + _U(1)) * up[:n], dtype=_U)])
-        inv = powers(n + 1, pow(BASE, -1, 1 << 64))
-        raw = (pre[ends] - pre[starts]) * inv[starts]
-        h = mix(raw + _U(0xA24BAED4963EE407) * (ends - starts).astype(_U))
-    return h, starts, ends, np.searchsorted(starts, offsets)
+        h = mix(size.astype(_U) * _U(0xA24BAED4963EE407) + _U(_KEY))
+        open_, at = np.flatnonzero(size <= _LONG), 0
+        while len(open_):
+            left = size[open_] - at
+            x = lanes[starts[open_] + at]
+            x = np.where(left >= 8, x, x & ((_U(1) << (_U(8) * np.minimum(left, 7).astype(_U))) - _U(1)))
+            h[open_] = mix((h[open_] ^ x) * _U(0xD6E8FEB86659FD93) + _U(at))
+            at += 8
+            open_ = open_[left > 8]
+    for i in np.flatnonzero(size > _LONG):
+        h[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -343,13 +343,53 @@ def test_quality(spark, empty):
     rng = random.Random(4)
     good = lambda: " ".join("".join(rng.choices("etaoinshrdlu", k=rng.randint(2, 8))) for _ in range(60)) + "."
     junk = lambda: " ".join(w + "###" for w in good().split())
-    rows = [(i, junk() if i % 3 == 0 else good(), "en", f"host{i % 2}/a{i % 5}") for i in range(300)] + [(900, None, None, None), (901, "", "en", "host0")]
+    rows = [(i, junk() if i % 3 == 0 else good(), "en", f"host{i % 2}/a{i % 5}") for i in range(300)] + [(900, None, None, None), (901, "", "en", "host0"), (5, "again", "en", "host9"), (None, "x " * 9000, "en", "host9")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
-    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(0, 300, 2)] + [(2, None)], "doc_id long, quality int")
-    got = {r.doc_id: r for r in quality.classify(docs, labels).collect()}
-    assert len(got) == 302 and all(got[i].accepted == (i % 3 != 0) for i in range(300))
-    assert all(0 <= r.quality_score <= 1 for r in got.values())
+    labels = spark.createDataFrame([(i, int(i % 3 != 0)) for i in range(0, 300, 2)] + [(2, None), (None, 0), (4, 0)], "doc_id long, quality int")
+    found = quality.classify(docs, labels).collect()
+    got = {r.doc_id: r for r in found if r.source != "host9"}
+    assert len(found) == 304 and all(got[i].accepted == (i % 3 != 0) for i in range(300))
+    assert all(0 <= r.quality_score <= 1 for r in found)
+    # Rates and posteriors against a plain version that starts from the same evidence.
+    known = {i: max(q for j, q in [(i, int(i % 3 != 0)), (4, 0)] if j == i) for i in range(0, 300, 2)}
+    site = lambda r: ((r.source or "").split("/")[0], "/".join(x for x in ((r.source or "").split("/")[-1] if r.source is not None else None, r.lang) if x is not None))
+    paths, hosts = defaultdict(lambda: [0.0, 0]), defaultdict(lambda: [0.0, 0])
+    for r in found:
+        g = known.get(r.doc_id, 1 / (1 + math.exp(-r.evidence)))
+        for table, key in ((paths, site(r)), (hosts, site(r)[0])):
+            table[key][0] += g
+            table[key][1] += 1
+    base = (sum(g for g, _ in hosts.values()) + 1) / (len(found) + 2)
+
+    def level(table):
+        big = [(g, n) for g, n in table.values() if n >= 5]
+        return quality.strength(sum(g for g, _ in big), sum(n for _, n in big), sum(g * g / n for g, n in big), len(big), sum(n * n for _, n in big))
+
+    kh, kp = level(hosts), level(paths)
+    for r in found:
+        host = (hosts[site(r)[0]][0] + kh * base) / (hosts[site(r)[0]][1] + kh)
+        path = (paths[site(r)][0] + kp * host) / (paths[site(r)][1] + kp)
+        odds = r.evidence + quality.SITE_WEIGHT * (math.log(path / (1 - path)) - math.log(base / (1 - base)))
+        assert abs(r.host_rate - host) < 1e-9 and abs(r.path_rate - path) < 1e-9 and abs(r.quality_score - 1 / (1 + math.exp(-odds))) < 1e-9
     assert quality.classify(docs.where("false"), labels.where("false")).count() == 0
+    assert {r.accepted for r in quality.classify(docs, labels.where("false")).collect()} == {True}
+    clash = docs.selectExpr("*", "1 AS accepted", "2 AS `host`", "3 AS odds", "4 AS `a.b`", "5 AS row")
+    both = quality.classify(clash, labels).collect()
+    assert sorted(r.quality_score for r in both) == sorted(r.quality_score for r in found) and {(r.host, r.odds, r["a.b"], r.row) for r in both} == {(2, 3, 4, 5)}
+
+
+def test_quality_features_by_hand():
+    import pyarrow as pa
+
+    texts = ["", None, "Ab ab, 12 #!", "é é é"]
+    b, w, at = quality.features(*quality.column_bytes(pa.array(texts, pa.string())))
+    for i, t in enumerate(texts):
+        t = t or ""
+        words, n = WORD.findall(lowered(t)), max(len(t), 1)
+        k = max(len(words), 1)
+        x = [sum(c in "#$%&*!|<>{}[]~^=+\\/@_" for c in t) / n * 4, sum("A" <= c <= "Z" for c in t) / n, sum("0" <= c <= "9" for c in t) / n * 2, sum(c in ".,;:?" for c in t) / k * 2, len(set(words)) / k, n / k / 24, math.log(n) / 14]
+        assert b[i].tolist() == [min(int(v * quality.BINS), quality.BINS - 1) for v in x]
+        assert at[i + 1] - at[i] == len(set(words))
 
 
 def test_packing(spark, corpus, empty):
