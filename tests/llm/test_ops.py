@@ -85,6 +85,37 @@ def test_ann_equals_brute_force(spark):
     assert ann.nearest(df.where("vec_id < 5"), df.where("vec_id = 0")).count() == 4
 
 
+def brute_nearest(rows, asked, k=20):
+    """Sums in coordinate order; an id counts once, by its best pair of vectors."""
+    best = defaultdict(dict)
+    for q, u in asked:
+        for i, v in rows:
+            if i != q:
+                x = float(np.cumsum(np.asarray(u, float) * np.asarray(v, float))[-1])
+                best[q][i] = max(x, best[q].get(i, -np.inf))
+    return {q: sorted((-s, i) for i, s in d.items())[:k] for q, d in best.items()}
+
+
+@pytest.mark.parametrize("kind", ["float", "double"])
+def test_ann_over_many_cells(spark, kind):
+    """Clustered vectors in cells of a few; ids with several vectors, on both sides; extra columns."""
+    rng = np.random.default_rng(8)
+    centres = rng.normal(size=(12, 16))
+    x = centres[rng.integers(0, 12, 1500)] + 0.1 * rng.normal(size=(1500, 16))
+    x = x.astype(np.float32) if kind == "float" else x
+    rows = [(i % 1400, v.tolist()) for i, v in enumerate(x)] + [(3, x[3].tolist()), (77, x[3].tolist())]
+    df = spark.createDataFrame([(i, v, 1, 2) for i, v in rows], f"vec_id long, embedding array<{kind}>, score int, id int")
+    want = brute_nearest(rows, [r for r in rows if r[0] % 20 == 0])
+    for cell, probes in ((100, None), (10_000, None), (100, 1000)):
+        got = defaultdict(list)
+        for r in ann.nearest(df, df.where("vec_id % 20 = 0"), cell=cell, probes=probes).orderBy("query_id", "rank").collect():
+            got[r.query_id].append((-r.score, r.vec_id))
+        assert set(got) == set(want)
+        hits = [len({i for _, i in got[q]} & {i for _, i in want[q]}) / 20 for q in want]
+        assert np.mean(hits) > 0.995 and all(dict((i, s) for s, i in want[q]).get(i, s) == s for q in want for s, i in got[q])
+        assert all(len({i for _, i in g}) == len(g) == 20 for g in got.values())
+
+
 def spans(texts, length=200):
     seen = Counter(b[i : i + length] for b in texts for i in range(len(b) - length + 1))
     out = []
@@ -333,6 +364,20 @@ def test_near_dedup_of_a_wide_family(spark):
     assert got == {i: root(i) for i in range(120)}
 
 
+def test_words_that_polynomials_confuse(spark):
+    """A Thue-Morse word and its complement have equal hashes under any polynomial modulo 2 ** 64."""
+    bits = [0]
+    for _ in range(10):
+        bits += [1 - b for b in bits]
+    texts = ["".join("ab"[b ^ flip] for b in bits[:n]) + end for n in (1024, 512, 256) for flip in (0, 1) for end in ("", "zz")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in near_dedup.near_dedup(df, words=4).collect()} == {i: i for i in range(len(texts))}
+    from chronogrid.llm.shingles import column_bytes, word_hashes
+    import pyarrow as pa
+
+    assert len(set(word_hashes(*column_bytes(pa.array(texts)))[0].tolist())) == len(texts)
+
+
 def test_posterior_bound():
     assert [near_dedup.least_matches(k) for k in (32, 128)] == [11, 73]
 
