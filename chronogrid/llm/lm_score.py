@@ -1,16 +1,19 @@
 """Language-model scoring by a hashed maximum-entropy model.
 
-P(token | history) = P(super | history) P(class | super, history) P(token | class).  The first two
-factors are softmaxes over weights found by hashing n-gram and skip features of the history; the
-third is the token's share of its class.  Classes come from a token's last two bytes and from
-whether it is one of the frequent (head) tokens; the most frequent have classes of their own.
-A tail class holds the rare tokens of one suffix bucket and those never seen, whose share is the
-Good-Turing estimate.
-
-Counts cover all training tokens and stay distributed.  Only the head's counts, a bounded table, go
-to the workers; what a document has of the tail is joined to the counts.  Weights start from the
-classes' frequencies and are trained in rounds that take every training document once: tasks update a
-copy on their share of the documents, and the changes are averaged row by row.
+A token's class is a leaf of a tree of LEVELS softmaxes, each over WIDTH branches: the first branch comes
+from a word's last two bytes, the others from its hash, so that 65,536 leaves tell tokens apart and the
+history chooses among them.  Every softmax adds up weights found by hashing n-gram and skip features of the
+history together with the node.  Within a leaf a token has its share of the leaf's training tokens.
+A token that training doesn't have gets the Good-Turing mass of the unseen, spread over all spellings by a
+letter-pair model.  So the chances of all tokens add up to 1 at most after any history:
+
+    P(seen token | history) = (1 - unseen) * product of P(branch | node, history) * n(token) / n(leaf)
+    P(unseen token) = unseen * product of P(letter | letter before)
+
+Counts cover all training tokens and stay distributed.  Workers hold a bounded cache of frequent tokens'
+counts; what a document has beyond it is joined, with the same result.  Weights are trained in rounds that
+take every training document once: tasks update a copy on their share of the documents, and the changes
+are averaged row by row.  The weight tables grow with the training tokens up to MOST_ROWS.
 """
 
 from __future__ import annotations
@@ -27,205 +30,265 @@ from .common import by_bytes, crc_bucket, documents, stage
 from .shingles import _LOWER, column_bytes, mix, word_hashes
 
 _U = np.uint64
-#: Most tokens in the head, and the least count there; rounds, over which all training documents are dealt.
-HEAD, HEAD_COUNT, ROUNDS, RATE = 1 << 18, 3, 3, 0.15
-#: Suffix buckets, super classes, classes in each: per bucket a head and a tail class, then the frequent tokens' own.
-BUCKETS, SUPERS, WIDTH = 64, 16, 16
-PER = BUCKETS // SUPERS
-#: Rows of the two hashed weight tables; features of a history.
-ROWS1, ROWS2, FEATURES = 1 << 15, 1 << 16, 4
+#: Most tokens in the workers' cache of counts, and the least count there; rounds, over which all training documents are dealt.
+CACHE, CACHE_COUNT, ROUNDS, RATE = 1 << 18, 3, 3, 0.15
+#: Levels of the tree and branches of a node.
+LEVELS, WIDTH, BITS = 4, 16, 4
+#: Rows of a level's weight table: one for each TOKENS_A_ROW training tokens, within bounds; features of a history.
+TOKENS_A_ROW, LEAST_ROWS, MOST_ROWS, FEATURES = 2048, 1 << 14, 1 << 18, 4
+#: Training tokens that a task takes at least, for each row of a table: what tasks send on stays a fraction of what they read.
+TASK_TOKENS = 128
+#: Bound of a weight, so that sums of FEATURES of them can't overflow.
+MOST_WEIGHT = 10.0
 _CHUNK = 1 << 14
+_LETTERS = 257
 #: Fixed value: the closing token.
 _END = _U(0x1F83D9ABFB41BD00) | _U(7)
 
 
-def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Token hashes, each text's words and a closing token, and their offsets; the low 6 bits are the suffix bucket."""
+def tokens(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(hashes, offsets by text, first bytes, ends, lower-case bytes) of each text's words and a closing token, which has no bytes.
+
+    The low bits of a word's hash come from its last two bytes.
+    """
     h, starts, ends, at = word_hashes(data, offsets)
     n, docs = len(h), len(offsets) - 1
-    low = _LOWER[data] if n else data
+    low = _LOWER[data]
     last = low[ends - 1].astype(_U) if n else np.zeros(0, _U)
     before = np.where(ends - starts >= 2, low[np.maximum(ends - 2, 0)], 0).astype(_U) if n else last
-    bucket = mix(last * _U(257) + before) & _U(BUCKETS - 1)
-    own = (h & ~_U(BUCKETS - 1)) | bucket
-    out = np.empty(n + docs, _U)
+    own = (h & ~_U(WIDTH - 1)) | (mix(last * _U(257) + before) & _U(WIDTH - 1))
+    out, first, end = np.empty(n + docs, _U), np.zeros(n + docs, np.int64), np.zeros(n + docs, np.int64)
     to = at + np.arange(docs + 1)
-    out[np.arange(n) + np.repeat(np.arange(docs), np.diff(at))] = own
+    words = np.arange(n) + np.repeat(np.arange(docs), np.diff(at))
+    out[words], first[words], end[words] = own, starts, ends
     out[to[1:] - 1] = _END
-    return out.view(np.int64), to
+    return out.view(np.int64), to, first, end, low
+
+
+def letter_pairs(low: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Counts (letter before, letter) over words; 256 stands before the first letter and after the last."""
+    some = end > first
+    first, end = first[some], end[some]
+    size = end - first
+    at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+    here = low[at].astype(np.int64)
+    before = np.concatenate([[256], here[:-1]])[: len(here)]
+    before[np.cumsum(size) - size] = 256
+    pairs = np.bincount(before * _LETTERS + here, minlength=_LETTERS * _LETTERS)
+    return pairs + np.bincount(low[end - 1].astype(np.int64) * _LETTERS + 256, minlength=_LETTERS * _LETTERS)
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(h, n) of tokens, and as ``pair`` the letter pairs of each batch's distinct words."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    pairs = np.zeros(_LETTERS * _LETTERS, np.int64)
 
     def merged() -> tuple[np.ndarray, np.ndarray]:
         h, n = np.concatenate([x for x, _ in held]), np.concatenate([y for _, y in held])
         found, inverse = np.unique(h, return_inverse=True)
         return found, np.bincount(inverse, n, len(found)).astype(np.int64)
 
+    def batch(h: np.ndarray, n: np.ndarray, pair: bool) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(h), pair)), pa.array(h), pa.array(n)], names=["pair", "h", "n"])
+
     for part in by_bytes(batches, "text", 2 << 20):
-        h, _ = tokens(*column_bytes(part.column("text")))
-        held.append(np.unique(h, return_counts=True))
+        h, _, first, end, low = tokens(*column_bytes(part.column("text")))
+        found, at, n = np.unique(h, return_index=True, return_counts=True)
+        pairs += letter_pairs(low, first[at], end[at])
+        held.append((found, n))
         if len(held) >= 8:
             held = [merged()]
             if len(held[0][0]) > 1_000_000:
-                yield pa.RecordBatch.from_arrays([pa.array(x) for x in held.pop()], names=["h", "n"])
+                yield batch(*held.pop(), False)
     if held:
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in merged()], names=["h", "n"])
+        yield batch(*merged(), False)
+    some = np.flatnonzero(pairs)
+    yield batch(some, pairs[some], True)
 
 
 class Weights:
-    """The model: head tokens with counts and classes, class statistics, and the two weight tables."""
-
-    def __init__(self, head: np.ndarray, head_n: np.ndarray, tail_n: np.ndarray, tail_once: np.ndarray, total: int, types: int):
-        order = np.argsort(head)
-        self.head, self.head_n = head[order], head_n[order]
-        self.total, self.types = total, types
-        bucket = self.head & (BUCKETS - 1)
-        self.kind = self._slot(bucket, 0)
-        room = np.full(SUPERS, WIDTH - 2 * PER)
-        for i in np.lexsort((self.head, -self.head_n))[: 4 * SUPERS * WIDTH]:
-            s = bucket[i] // PER
-            if room[s]:
-                room[s] -= 1
-                self.kind[i] = s * WIDTH + 2 * PER + room[s]
-        mass = np.bincount(self.kind, self.head_n, SUPERS * WIDTH).astype(float)
-        self.head_log = np.log10(self.head_n / np.maximum(mass[self.kind], 1))
-        self.unseen = np.where(tail_n > 0, (tail_once + 0.5) / (tail_n + 1), 1.0)
-        self.tail_n = tail_n
-        mass[self._slot(np.arange(BUCKETS), PER)] += tail_n
-        share = (mass.reshape(SUPERS, WIDTH) + 0.05) / (mass.sum() + 0.05 * SUPERS * WIDTH)
-        self.bias1 = np.log(share.sum(axis=1)).astype(np.float32)
-        self.bias2 = np.log(share / share.sum(axis=1, keepdims=True)).astype(np.float32)
-        self.w1, self.w2 = np.zeros((ROWS1, SUPERS), np.float32), np.zeros((ROWS2, WIDTH), np.float32)
-
-    @staticmethod
-    def _slot(bucket: np.ndarray, first: int) -> np.ndarray:
-        return (bucket // PER) * WIDTH + first + bucket % PER
-
-    def look_up(self, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place in the head or -1, class) of tokens."""
-        at = np.minimum(np.searchsorted(self.head, h), max(len(self.head) - 1, 0))
-        at = np.where(self.head[at] == h, at, -1) if len(self.head) else np.full(len(h), -1)
-        kind = self._slot(h & (BUCKETS - 1), PER)
-        return at, np.where(at >= 0, self.kind[at], kind) if len(self.head) else kind
+    """The model: leaves' counts, the weight tables, letter chances, and the cache of frequent tokens' counts."""
+
+    def __init__(self, leaf_n: np.ndarray, once: int, types: int, pairs: np.ndarray, cache: np.ndarray | None = None, cache_n: np.ndarray | None = None):
+        self.total, self.types = int(leaf_n.sum()), types
+        self.unseen = (once + 0.5) / (self.total + 1)
+        # By (first branch, second, ...): the low bits of a hash are the first branch.
+        self.leaf_n = leaf_n.reshape((WIDTH,) * LEVELS).transpose().reshape(-1)
+        mass = self.leaf_n + 0.05
+        self.bias = []
+        for level in range(LEVELS):
+            own = mass.reshape(WIDTH**level, WIDTH, -1).sum(axis=2)
+            self.bias.append(np.log(own / own.sum(axis=1, keepdims=True)).astype(np.float32))
+        rows = 1 << max(0, math.ceil(math.log2(max(self.total, 1) / TOKENS_A_ROW)))
+        self.rows = min(max(rows, LEAST_ROWS), MOST_ROWS)
+        self.w = [np.zeros((self.rows, WIDTH), np.float32) for _ in range(LEVELS)]
+        pairs = pairs.reshape(_LETTERS, _LETTERS) + 0.5
+        self.spelled = np.log10(pairs / pairs.sum(axis=1, keepdims=True)).ravel()
+        cache = np.zeros(0, np.int64) if cache is None else cache
+        order = np.argsort(cache)
+        self.cache, self.cache_n = cache[order], (np.zeros(0) if cache_n is None else cache_n)[order]
+
+    def cached(self, h: np.ndarray) -> np.ndarray:
+        """Place in the cache, or -1."""
+        if not len(self.cache):
+            return np.full(len(h), -1)
+        at = np.minimum(np.searchsorted(self.cache, h), len(self.cache) - 1)
+        return np.where(self.cache[at] == h, at, -1)
+
+    def spell(self, low: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """log10 chance of each word's spelling."""
+        before = np.concatenate([[256], low[:-1]])[: len(low)].astype(np.int64)
+        some = np.flatnonzero(end > first)
+        before[first[some]] = 256
+        total = np.concatenate([[0.0], np.cumsum(self.spelled[before * _LETTERS + low])])
+        out = total[end] - total[first]
+        last = np.full(len(first), 256)
+        last[some] = low[end[some] - 1]
+        return out + self.spelled[last * _LETTERS + 256]
 
     @staticmethod
-    def features(h: np.ndarray, at: np.ndarray, to: np.ndarray) -> np.ndarray:
+    def features(h: np.ndarray, to: np.ndarray) -> np.ndarray:
         """(tokens, FEATURES) hashes of the last token, the last two, and the second and third last alone."""
-        code = np.where(at >= 0, h, h & (BUCKETS - 1)).view(_U)
+        code = h.view(_U)
         place = np.arange(len(h)) - np.repeat(to[:-1], np.diff(to))
         back = [np.where(place >= k, np.concatenate([np.zeros(k, _U), code[:-k]])[: len(code)], _U(k)) for k in (1, 2, 3)]
         with np.errstate(over="ignore"):
             one, two, three = (b * m for b, m in zip(back, (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9))))
             return np.stack([mix(one), mix(one ^ (two + _U(1))), mix(two + _U(2)), mix(three + _U(3))], axis=1)
 
-    @staticmethod
-    def rows(f: np.ndarray, upper: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        with np.errstate(over="ignore"):
-            second = ((f >> _U(24)) + upper.astype(_U)[:, None] * _U(0x9E3779B1)) & _U(ROWS2 - 1)
-        return (f & _U(ROWS1 - 1)).astype(np.int64), second.astype(np.int64)
+    def paths(self, h: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """(level, node, branch) along the tokens' paths."""
+        node, code = np.zeros(len(h), np.int64), h.view(_U)
+        for level in range(LEVELS):
+            branch = ((code >> _U(BITS * level)) & _U(WIDTH - 1)).astype(np.int64)
+            yield level, node, branch
+            node = node * WIDTH + branch
 
-    @staticmethod
-    def _log_softmax(x: np.ndarray) -> np.ndarray:
-        x = x - x.max(axis=1, keepdims=True)
-        return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
-
-    def logs(self, f: np.ndarray, kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        upper = kind // WIDTH
-        r1, r2 = self.rows(f, upper)
-        x1, x2 = self.bias1 + self.w1[r1[:, 0]], self.bias2[upper] + self.w2[r2[:, 0]]
-        for k in range(1, FEATURES):
-            x1 += self.w1[r1[:, k]]
-            x2 += self.w2[r2[:, k]]
-        return self._log_softmax(x1), self._log_softmax(x2), r1, r2
-
-    def class_log10(self, h: np.ndarray, at: np.ndarray, kind: np.ndarray, to: np.ndarray) -> np.ndarray:
-        """log10 P(class | history) of every token."""
-        f, out = self.features(h, at, to), np.empty(len(h))
+    def leaves(self, h: np.ndarray) -> np.ndarray:
+        *_, (_, node, branch) = self.paths(h)
+        return node * WIDTH + branch
+
+    def places(self, f: np.ndarray, level: int, node: np.ndarray) -> np.ndarray:
+        """Rows of the level's table."""
+        with np.errstate(over="ignore"):
+            x = (f ^ (node.astype(_U) + _U(level << 32))[:, None]) * _U(0xD6E8FEB86659FD93)
+        return ((x >> _U(40)) & _U(self.rows - 1)).astype(np.int64)
+
+    def chances(self, level: int, node: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """(tokens, WIDTH): P(branch | node, history)."""
+        w, x = self.w[level], self.bias[level].take(node, axis=0)
+        for k in range(FEATURES):
+            x += w.take(rows[:, k], axis=0)
+        np.exp(x, out=x)
+        x /= x.sum(axis=1, keepdims=True)
+        return x
+
+    def tree_log10(self, h: np.ndarray, to: np.ndarray) -> np.ndarray:
+        """log10 P(leaf | history) of every token."""
+        f, out = self.features(h, to), np.zeros(len(h))
         for a in range(0, len(h), _CHUNK):
             b = min(a + _CHUNK, len(h))
-            x1, x2, _, _ = self.logs(f[a:b], kind[a:b])
             i = np.arange(b - a)
-            out[a:b] = x1[i, kind[a:b] // WIDTH] + x2[i, kind[a:b] % WIDTH]
-        return out / math.log(10)
+            for level, node, branch in self.paths(h[a:b]):
+                out[a:b] += np.log10(self.chances(level, node, self.places(f[a:b], level, node))[i, branch])
+        return out
 
     def learn(self, h: np.ndarray, to: np.ndarray, squares: list[np.ndarray], used: list[np.ndarray], rate: float) -> None:
         """Gradient steps on the tokens, scaled by each weight's own past (AdaGrad)."""
-        at, kind = self.look_up(h)
-        f = self.features(h, at, to)
+        f = self.features(h, to)
         for a in range(0, len(h), _CHUNK):
-            k = kind[a : a + _CHUNK]
-            x1, x2, r1, r2 = self.logs(f[a : a + _CHUNK], k)
-            i = np.arange(len(k))
-            for x, goal, r, w, sq, use in ((x1, k // WIDTH, r1, self.w1, squares[0], used[0]), (x2, k % WIDTH, r2, self.w2, squares[1], used[1])):
-                g = np.exp(x)
-                g[i, goal] -= 1
-                flat = r.ravel()
-                order = np.argsort(flat, kind="stable")
-                cut = np.flatnonzero(np.concatenate([[True], flat[order][1:] != flat[order][:-1]]))
-                row = flat[order][cut]
-                step = np.add.reduceat(g[order // FEATURES], cut, axis=0)
-                sq[row] += step * step
-                w[row] -= (rate * step / (np.sqrt(sq[row]) + 1)).astype(np.float32)
-                use[row] += np.diff(np.append(cut, len(flat)))
+            part = f[a : a + _CHUNK]
+            i = np.arange(len(part))
+            for level, node, branch in self.paths(h[a : a + _CHUNK]):
+                rows = self.places(part, level, node)
+                g = self.chances(level, node, rows)
+                g[i, branch] -= 1
+                flat = rows.ravel()
+                order = _order(flat, self.rows)
+                near = flat[order]
+                cut = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
+                row = near[cut]
+                step = np.add.reduceat(g.take(order // FEATURES, axis=0), cut, axis=0)
+                past = squares[level].take(row, axis=0)
+                past += step * step
+                squares[level][row] = past
+                np.sqrt(past, out=past)
+                past += 1
+                step *= np.float32(-rate)
+                step /= past
+                step += self.w[level].take(row, axis=0)
+                self.w[level][row] = np.clip(step, -MOST_WEIGHT, MOST_WEIGHT, out=step)
+                used[level][row] += np.diff(np.append(cut, len(flat)))
+
+
+def _order(x: np.ndarray, limit: int) -> np.ndarray:
+    """Stable order of numbers under ``limit``: 16 bits at a time, which NumPy sorts by radix."""
+    order = np.argsort(x.astype(np.uint16), kind="stable")
+    return order if limit <= 1 << 16 else order[np.argsort((x[order] >> 16).astype(np.uint16), kind="stable")]
 
 
 def _round(model, rate: float):
-    schema = pa.schema([("part", pa.int32()), ("row", pa.int32()), ("used", pa.float64()), ("step", pa.list_(pa.float32()))])
+    schema = pa.schema([("level", pa.int32()), ("row", pa.int32()), ("used", pa.float64()), ("step", pa.list_(pa.float32()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shared = model.value
         own = object.__new__(Weights)
         own.__dict__ = dict(shared.__dict__)
-        own.w1, own.w2 = shared.w1.copy(), shared.w2.copy()
-        squares, used = [np.zeros(w.shape, np.float32) for w in (own.w1, own.w2)], [np.zeros(len(w)) for w in (own.w1, own.w2)]
+        own.w = [w.copy() for w in shared.w]
+        squares, used = [np.zeros(w.shape, np.float32) for w in own.w], [np.zeros(len(w)) for w in own.w]
         for part in by_bytes(batches, "text", 1 << 20):
-            own.learn(*tokens(*column_bytes(part.column("text"))), squares, used, rate)
-        for t, (w, was) in enumerate(((own.w1, shared.w1), (own.w2, shared.w2))):
-            rows = np.flatnonzero(used[t])
+            h, to, *_ = tokens(*column_bytes(part.column("text")))
+            own.learn(h, to, squares, used, rate)
+        for level, (w, was) in enumerate(zip(own.w, shared.w)):
+            rows = np.flatnonzero(used[level])
             for a in range(0, len(rows), 8192):
                 r = rows[a : a + 8192]
-                step = (w[r] - was[r]).astype(np.float32) * used[t][r, None].astype(np.float32)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), t, np.int32)), pa.array(r.astype(np.int32)), pa.array(used[t][r]), pa.ListArray.from_arrays(np.arange(len(r) + 1, dtype=np.int32) * w.shape[1], step.ravel())], schema=schema)
+                step = (w[r] - was[r]) * used[level][r, None].astype(np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(r), level, np.int32)), pa.array(r.astype(np.int32)), pa.array(used[level][r]), pa.ListArray.from_arrays(np.arange(len(r) + 1, dtype=np.int32) * WIDTH, step.ravel())], schema=schema)
 
     return run
 
 
 def count_tokens(df: DataFrame) -> DataFrame:
-    """(h, n): how often each token occurs in the column ``text``, stored."""
-    return stage(df.select("text").mapInArrow(_count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")), "counts")
+    """(pair, h, n): how often each token, and with ``pair`` each pair of letters, occurs in the column ``text``; stored."""
+    return stage(df.select("text").mapInArrow(_count, "pair boolean, h long, n long").groupBy("pair", "h").agg(F.sum("n").alias("n")), "counts")
 
 
-def fit(train: DataFrame, counts: DataFrame) -> Weights:
+def fit(train: DataFrame, counted: DataFrame) -> Weights:
     """The model of ``train`` (columns text, part: a hash that deals documents over the rounds)."""
     spark = train.sparkSession
-    total, types = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    # The head is what occurs often enough for at most HEAD tokens to qualify: found on a histogram of about a thousand
-    # rows, so that no task sends the driver more than its share of the head.
+    counts = counted.where("NOT pair")
+    leaf_n, once, types = np.zeros(WIDTH**LEVELS), 0, 0
+    for r in counts.groupBy(F.pmod("h", F.lit(WIDTH**LEVELS)).alias("b")).agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("once"), F.count(F.lit(1)).alias("types")).toArrow().to_batches():
+        b, n, o, t = (np.asarray(c) for c in r.columns)
+        leaf_n[b] = n
+        once, types = once + int(o.sum()), types + int(t.sum())
+    pairs = np.zeros(_LETTERS * _LETTERS)
+    for r in counted.where("pair").select("h", "n").toArrow().to_batches():
+        pairs[np.asarray(r.column(0))] = np.asarray(r.column(1))
+    # The cache is what occurs often enough for at most CACHE tokens to qualify: found on a histogram of about a thousand
+    # rows, so that no task sends the driver more than its share.
     step = F.when(F.col("n") < 256, F.col("n")).otherwise(F.floor(F.log2("n") * 16) + 128)
-    room, least = HEAD, None
-    for r in sorted(counts.where(F.col("n") >= HEAD_COUNT).groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n")).collect(), key=lambda r: -r.b):
+    room, least = CACHE, None
+    for r in sorted(counts.where(F.col("n") >= CACHE_COUNT).groupBy(step.alias("b")).agg(F.count(F.lit(1)).alias("k"), F.min("n").alias("n")).collect(), key=lambda r: -r.b):
         room -= r.k
         if room < 0:
             break
         least = r.n
-    top = (counts.where(F.col("n") >= least) if least else counts.where("false")).toPandas()
-    head, head_n = top["h"].to_numpy(np.int64), top["n"].to_numpy(np.float64)
-    # By bucket, what all tokens have less what the head has: 64 rows.
-    tail_n, once = np.zeros(BUCKETS), np.zeros(BUCKETS)
-    for r in counts.groupBy(F.pmod("h", F.lit(BUCKETS)).alias("b")).agg(F.sum("n").alias("n"), F.count_if(F.col("n") == 1).alias("once")).collect():
-        tail_n[r.b], once[r.b] = r.n, r.once
-    tail_n -= np.bincount(head & (BUCKETS - 1), head_n, BUCKETS)
-    model = Weights(head, head_n, np.maximum(tail_n, 0), once, total, types)
+    top = (counts.where(F.col("n") >= least) if least else counts.where("false")).select("h", "n").toArrow()
+    model = Weights(leaf_n, once, types, pairs, top.column("h").to_numpy().astype(np.int64), top.column("n").to_numpy().astype(np.float64))
+    tasks = max(spark.sparkContext.defaultParallelism, math.ceil(model.total / ROUNDS / (TASK_TOKENS * model.rows)))
     for k in range(ROUNDS):
         shared = spark.sparkContext.broadcast(model)
-        steps = train.where(F.pmod("part", F.lit(ROUNDS)) == k).select("text").mapInArrow(_round(shared, RATE), "part int, row int, used double, step array<float>")
-        cells = [F.sum(F.col("step")[i]).alias(f"s{i}") for i in range(WIDTH)]
-        # Averages of the tasks' changes, weighted by use: a table of ROWS1 + ROWS2 rows at most.
-        for t, own in steps.groupBy("part", "row").agg(F.sum("used").alias("used"), *cells).toPandas().groupby("part"):
-            change = own[[f"s{i}" for i in range(WIDTH)]].to_numpy() / own[["used"]].to_numpy()
-            (model.w1 if t == 0 else model.w2)[own["row"].to_numpy()] += change.astype(np.float32)
+        part = train.where(F.pmod("part", F.lit(ROUNDS)) == k).select("text").coalesce(tasks)
+        steps = part.mapInArrow(_round(shared, RATE), "level int, row int, used double, step array<float>")
+        cells = [F.sum(F.col("step")[i]).cast("float").alias(f"s{i}") for i in range(WIDTH)]
+        # Averages of the tasks' changes, weighted by use: at most LEVELS * MOST_ROWS rows.
+        for b in steps.groupBy("level", "row").agg(F.sum("used").alias("used"), *cells).toArrow().to_batches():
+            level, row, used, *change = (np.asarray(c) for c in b.columns)
+            change = np.stack(change, axis=1) / used[:, None]
+            for x in range(LEVELS):
+                model.w[x][row[level == x]] += change[level == x].astype(np.float32)
         shared.unpersist()
     return model
 
@@ -233,48 +296,42 @@ def fit(train: DataFrame, counts: DataFrame) -> Weights:
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = model.value
+        seen_log = math.log10(1 - own.unseen)
         for part in by_bytes(batches, "text", 1 << 20):
-            h, to = tokens(*column_bytes(part.column("text")))
-            at, kind = own.look_up(h)
+            h, to, first, end, low = tokens(*column_bytes(part.column("text")))
+            at = own.cached(h)
             head = at >= 0
-            seen = at[head]
-            base, score, known = np.zeros(len(h)), own.class_log10(h, at, kind, to), head.astype(np.int64)
-            base[head] = np.log10(own.head_n[seen] + 0.5)
-            score[head] += own.head_log[seen]
-            doc = np.repeat(np.arange(len(to) - 1), np.diff(to))[~head]
-            rare = h[~head]
+            # What a token adds when it is seen, but for its own count.
+            seen = own.tree_log10(h, to) + seen_log - np.log10(np.maximum(own.leaf_n[own.leaves(h)], 1))
+            base, score = np.zeros(len(h)), np.zeros(len(h))
+            base[head] = np.log10(own.cache_n[at[head]] + 0.5)
+            score[head] = seen[head] + np.log10(own.cache_n[at[head]])
+            rest = np.flatnonzero(~head)
+            doc, rare = np.repeat(np.arange(len(to) - 1), np.diff(to))[rest], h[rest]
             order = np.lexsort((rare, doc))
-            doc, rare = doc[order], rare[order]
+            doc, rare, rest = doc[order], rare[order], rest[order]
             new = np.flatnonzero(np.concatenate([[True], (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1])])) if len(doc) else np.zeros(0, np.int64)
-            times = np.diff(np.append(new, len(doc)))
+            times = np.diff(np.append(new, len(doc))).astype(np.int32)
+            spelled = own.spell(low, first, end)[rest[new]].astype(np.float32)
+            added = np.add.reduceat(seen[rest], new).astype(np.float32) if len(new) else np.zeros(0, np.float32)
             offsets = pa.array(np.searchsorted(doc[new], np.arange(len(to))).astype(np.int32))
-            sums = [np.add.reduceat(x, to[:-1]) for x in (base, score, known)]
-            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(np.diff(to)), *(pa.array(s) for s in sums), pa.ListArray.from_arrays(offsets, pa.array(rare[new])), pa.ListArray.from_arrays(offsets, pa.array(times))], names=["row", "doc_id", "held_out", "n_tokens", "base", "score", "known", "rare", "times"])
+            sums = [np.add.reduceat(x, to[:-1]) for x in (base, score, head.astype(np.int64))]
+            lists = [pa.ListArray.from_arrays(offsets, pa.array(x)) for x in (rare[new], times, added, spelled)]
+            yield pa.RecordBatch.from_arrays([part.column("row"), part.column("doc_id"), part.column("held_out"), pa.array(np.diff(to)), *(pa.array(s) for s in sums), *lists], names=["row", "doc_id", "held_out", "n_tokens", "base", "score", "known", "rare", "times", "seen", "spelled"])
 
     return run
 
 
-def lm_score(df: DataFrame, train: str = "train", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
-
-    ``train`` names a boolean column: the rows to learn from.  Null and empty texts are the closing
-    token alone; repeated rows repeat, and count as often in training; with nothing to learn from
-    every token is an unseen one; an empty table gives an empty result; extra columns are not read.
-    """
-    own = df.select(F.col(doc_id).cast("long").alias("doc_id"), (~F.col(train)).alias("held_out"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    learn = own.where("NOT held_out").select("text", F.xxhash64("doc_id").alias("part"))
-    counts = count_tokens(learn)
-    model = fit(learn, counts)
-    shared = df.sparkSession.sparkContext.broadcast(model)
-    scored = own.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_score(shared), "row long, doc_id long, held_out boolean, n_tokens long, base double, score double, known long, rare array<bigint>, times array<bigint>")
+def apply(own: DataFrame, counted: DataFrame, model: Weights) -> DataFrame:
+    """Scores of ``own`` (doc_id, held_out, text) by the model and the counts that it was fitted on."""
+    shared = own.sparkSession.sparkContext.broadcast(model)
+    scored = own.withColumn("row", F.monotonically_increasing_id()).mapInArrow(_score(shared), "row long, doc_id long, held_out boolean, n_tokens long, base double, score double, known long, rare array<bigint>, times array<int>, seen array<float>, spelled array<float>")
     scored = stage(scored, "scored")
-    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times")).alias("x")).select("row", F.col("x.rare").alias("h"), F.col("x.times").alias("times")).join(counts, "h", "left")
-    b = F.pmod("h", F.lit(BUCKETS)).cast("int") + 1
-    unseen, mass = (F.element_at(F.array(*[F.lit(float(v)) for v in x]), b) for x in (model.unseen, np.maximum(model.tail_n, 1)))
-    chance = F.when(F.col("n").isNull(), F.log10(unseen)).otherwise(F.log10((1 - unseen) * F.col("n") / mass))
-    tail = rare.groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail_base"), F.sum(F.col("times") * chance).alias("tail_score"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"))
+    rare = scored.select("row", F.explode(F.arrays_zip("rare", "times", "seen", "spelled")).alias("x")).select("row", F.col("x.rare").alias("h"), "x.times", "x.seen", "x.spelled").join(counted.where("NOT pair").select("h", "n"), "h", "left")
+    log = F.when(F.col("n").isNull(), F.col("times") * (F.lit(math.log10(model.unseen)) + F.col("spelled"))).otherwise(F.col("seen") + F.col("times") * F.log10("n"))
+    tail = rare.groupBy("row").agg(F.sum(F.col("times") * F.log10(F.coalesce("n", F.lit(0)) + 0.5)).alias("tail_base"), F.sum(log).alias("tail_score"), F.sum(F.when(F.col("n").isNotNull(), F.col("times")).otherwise(0)).alias("tail_known"))
     zero = lambda c: F.coalesce(c, F.lit(0))
-    return scored.drop("rare", "times").join(tail, "row", "left").select(
+    return scored.drop("rare", "times", "seen", "spelled").join(tail, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",
@@ -285,6 +342,19 @@ def lm_score(df: DataFrame, train: str = "train", text: str = "text", doc_id: st
     )
 
 
+def lm_score(df: DataFrame, train: str = "train", text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per input row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
+
+    ``train`` names a boolean column: the rows to learn from.  Null and empty texts are the closing
+    token alone; repeated rows repeat, and count as often in training; with nothing to learn from
+    every token is an unseen one; an empty table gives an empty result; extra columns are not read.
+    """
+    own = df.select(F.col(doc_id).cast("long").alias("doc_id"), (~F.col(train)).alias("held_out"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    learn = own.where("NOT held_out").select("text", F.xxhash64("doc_id", F.length("text")).alias("part"))
+    counted = count_tokens(learn)
+    return apply(own, counted, fit(learn, counted))
+
+
 def op1_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return lm_score(docs.withColumn("train", crc_bucket("doc_id", 5) != 1))

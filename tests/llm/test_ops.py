@@ -36,6 +36,11 @@ def test_lm_score(spark, corpus, empty):
     assert len(nothing) == len(rows) and all(r.n_known == 0 and r.train_tokens == 0 and math.isfinite(r.score) for r in nothing)
 
 
+def lm_tokens(texts):
+    raw = [t.encode() for t in texts]
+    return lm_score.tokens(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
+
+
 def test_lm_learns_from_every_training_document(spark):
     """The n-grams and skips of each document move their weights, whichever round it is dealt to."""
     from pyspark.sql import functions as F
@@ -44,26 +49,72 @@ def test_lm_learns_from_every_training_document(spark):
     train = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select("text", F.xxhash64("doc_id").alias("part"))
     train = train.unionAll(train).unionAll(train)
     model = lm_score.fit(train, lm_score.count_tokens(train))
-    raw = [t.encode() for t in texts]
-    h, to = lm_score.tokens(np.frombuffer(b"".join(raw), np.uint8), np.cumsum([0, *map(len, raw)]))
-    at, kind = model.look_up(h)
-    r1, r2 = model.rows(model.features(h, at, to), kind // lm_score.WIDTH)
-    assert (at >= 0).all() and model.w1[r1].any(axis=2).all() and model.w2[r2].any(axis=2).all()
+    h, to, *_ = lm_tokens(texts)
+    f = model.features(h, to)
+    for level, node, _ in model.paths(h):
+        assert model.w[level][model.places(f, level, node)].any(axis=2).all()
 
 
-def test_lm_classes_sum_to_one():
+def test_lm_scores_by_hand(spark, corpus):
+    """score, token by token, from the model's tables; unseen words by their letters."""
+    from pyspark.sql import functions as F
+
+    df, rows = corpus
+    own = df.select("doc_id", (F.col("doc_id") % 4 == 1).alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
+    learn = own.where("NOT held_out").select("text", F.xxhash64("doc_id").alias("part"))
+    for cache in (lm_score.CACHE, 0):
+        counted = lm_score.count_tokens(learn)
+        with pytest.MonkeyPatch.context() as m:
+            m.setattr(lm_score, "CACHE", cache)
+            model = lm_score.fit(learn, counted)
+        assert (len(model.cache) > 0) == (cache > 0)
+        got = sorted((r.doc_id, round(r.score, 3)) for r in lm_score.apply(own, counted, model).collect())
+        toks = [(r[0], [*WORD.findall(lowered(r[1])), None]) for r in rows]
+        n = Counter(w for i, t in toks if i % 4 != 1 for w in t)
+        pairs = Counter((a, b) for w in {w for w in n if w} for a, b in zip([256, *w.encode()], [*w.encode(), 256]))
+        once = sum(v == 1 for v in n.values())
+        assert abs(model.unseen - (once + 0.5) / (sum(n.values()) + 1)) < 1e-12
+        assert {r.h for r in counted.where("pair").collect()} == {a * 257 + b for a, b in pairs}
+        want = []
+        for i, t in toks:
+            h, to, *_ = lm_tokens([" ".join(w for w in t if w)])
+            f, total = model.features(h, to), 0.0
+            for k, w in enumerate(t):
+                if not n[w]:
+                    raw = (w or "").encode()
+                    total += math.log10(model.unseen) + sum(model.spelled[a * 257 + b] for a, b in zip([256, *raw], [*raw, 256]))
+                    continue
+                p, node, code = 1 - model.unseen, 0, int(h[k]) & (2**64 - 1)
+                for level in range(lm_score.LEVELS):
+                    x = model.bias[level][node] + model.w[level][model.places(f[k : k + 1], level, np.array([node]))[0]].sum(axis=0)
+                    branch = code >> (4 * level) & 15
+                    p *= np.exp(x)[branch] / np.exp(x).sum()
+                    node = node * 16 + branch
+                total += math.log10(p * n[w] / model.leaf_n[node])
+            want.append((i, total))
+        assert all(i == j and abs(x - y) < 2e-3 * max(1, abs(y)) for (i, x), (j, y) in zip(got, sorted(want)))
+
+
+def test_lm_chances_sum_to_one():
     rng = np.random.default_rng(0)
-    head = np.unique(rng.integers(-(1 << 62), 1 << 62, 500))
-    m = lm_score.Weights(head, rng.integers(3, 90, len(head)).astype(float), np.full(64, 40.0), np.full(64, 9.0), 9999, 900)
-    m.w1 += rng.normal(size=m.w1.shape).astype(np.float32)
-    m.w2 += rng.normal(size=m.w2.shape).astype(np.float32)
+    m = lm_score.Weights(rng.integers(0, 90, 1 << 16).astype(float), 900, 9000, rng.integers(0, 50, 257 * 257))
+    for w in m.w:
+        w += rng.normal(size=w.shape).astype(np.float32)
     f = rng.integers(0, 1 << 62, (1, lm_score.FEATURES)).astype(np.uint64)
-    kinds = np.arange(lm_score.SUPERS * lm_score.WIDTH)
-    x1, x2, _, _ = m.logs(np.repeat(f, len(kinds), 0), kinds)
-    i = np.arange(len(kinds))
-    assert abs(np.exp(x1[i, kinds // 16].astype(float) + x2[i, kinds % 16]).sum() - 1) < 1e-4
-    for kind in np.unique(m.kind):
-        assert abs((10 ** m.head_log[m.kind == kind]).sum() - 1) < 1e-9
+    p = np.ones(1)
+    for level in range(lm_score.LEVELS):
+        node = np.arange(len(p))
+        p = (p[:, None] * m.chances(level, node, m.places(np.repeat(f, len(p), 0), level, node))).ravel()
+    assert len(p) == 1 << 16 and abs(p.sum() - 1) < 1e-3
+    assert np.allclose((10 ** m.spelled).reshape(257, 257).sum(axis=1), 1)
+    h = rng.integers(-(1 << 62), 1 << 62, 1000)
+    code = h.astype(np.uint64)
+    assert (m.leaves(h) == sum(((code >> np.uint64(4 * k)) & np.uint64(15)).astype(int) << (12 - 4 * k) for k in range(4))).all()
+
+
+def test_lm_order_of_many_rows():
+    x = np.random.default_rng(1).integers(0, 1 << 18, 5000)
+    assert (lm_score._order(x, 1 << 18) == np.argsort(x, kind="stable")).all()
 
 
 def test_ann_equals_brute_force(spark):
