@@ -27,7 +27,10 @@ def _own_root(application: str) -> str:
 
 def scratch_root(spark: SparkSession) -> str:
     """The folder all executors share; a folder of this machine only where the session names none (tests)."""
-    return spark.conf.get("spark.checkpoint.dir", None) or _own_root(spark.sparkContext.applicationId)
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    if not named and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
+    return named or _own_root(spark.sparkContext.applicationId)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -39,7 +42,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{scratch_root(spark)}/tables/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
     _SCRATCH.setdefault(spark.sparkContext.applicationId, []).append(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def drop(table: DataFrame) -> None:
+    """Delete a table that ``stage`` made, once nothing reads it any more."""
+    release(table.sparkSession, [table._scratch])
 
 
 def made(spark: SparkSession) -> list[str]:
@@ -58,6 +68,22 @@ def release(spark: SparkSession, paths: list[str] | None = None) -> None:
             own.remove(path)
 
 
+#: A key is hot from one in HOT of all rows, so at most HOT keys are; salts that its rows are dealt over.
+HOT, SALTS = 1000, 32
+
+
+def spread_join(many: DataFrame, one: DataFrame, keys: list[str], total: int) -> DataFrame:
+    """``many`` joined with ``one``, which has one row a key and, as ``n``, how many of the ``total`` rows of ``many`` it meets.
+
+    The rows of a hot key are dealt over SALTS tasks.  The list of hot keys, HOT at most, is broadcast.
+    """
+    hot = F.col("n") * HOT >= total
+    salted = one.withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("n")
+    marked = many.join(F.broadcast(one.where(hot).select(*keys, F.lit(True).alias("hot"))), keys, "left")
+    dealt = marked.withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64(*many.columns), F.lit(SALTS)).cast("int")).otherwise(0)).drop("hot")
+    return dealt.join(salted, [*keys, "salt"]).drop("salt")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 

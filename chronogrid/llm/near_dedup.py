@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, documents, stage
+from .common import by_bytes, documents, spread_join, stage
 from .components import components
 from .shingles import column_bytes, shingle_sets
 
@@ -36,7 +36,7 @@ _HUB_SALTS = (0x0, 0x2545F4914F6CDD1D)
 _MORE_SALTS = (0x1B873593CC9E2D51, 0x38B34AE5A1E38B93, 0x4CF5AD432745937F)
 #: Classes of a block in the last comparison.
 BLOCK = 512
-_NODE = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary())])
+_NODE = pa.schema([("doc_id", pa.int64()), ("row", pa.int64()), ("n_shingles", pa.int64()), ("key", pa.binary()), ("sig", pa.binary())])
 
 
 @lru_cache(maxsize=1)
@@ -76,7 +76,7 @@ def _nodes(words: int):
                 own = signatures(values, np.append(at[some], len(values)))
                 for i, row in zip(some, own):
                     sig[i], key[i] = row.tobytes(), _set_key(values[at[i] : at[i + 1]])
-            yield pa.RecordBatch.from_arrays([part.column("__doc"), pa.array(n), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], schema=_NODE)
+            yield pa.RecordBatch.from_arrays([part.column("__doc"), part.column("__row"), pa.array(n), pa.array(key, pa.binary()), pa.array(sig, pa.binary())], schema=_NODE)
 
     return run
 
@@ -172,23 +172,24 @@ def _full_sets(words: int):
     return run
 
 
-def near_dedup(df: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per input row: doc_id, n_shingles, component_id, kept.
+def near_dedup(df: DataFrame, words: int = 5, percent: int = 80, text: str = "text", doc_id: str = "doc_id", row: str | None = None) -> DataFrame:
+    """One row per input row: doc_id, n_shingles, component_id, kept; with ``row``, a long column, also row and group.
 
     Texts link when their ``words``-word shingle sets have a Jaccard similarity of ``percent`` % or
     more.  Null, empty and blank texts have no shingles and link with nothing; repeated rows are one
     class; component_id is the smallest non-null doc_id of the component; an empty table gives an
-    empty result; extra columns are not read.
+    empty result; extra columns are not read.  group numbers the components, null for texts without shingles.
     """
-    own = df.select(F.col(doc_id).cast("long").alias("__doc"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
-    nodes = stage(own.mapInArrow(_nodes(words), "doc_id long, n_shingles long, key binary, sig binary"), "nodes")
+    own = df.select((F.col(row) if row else F.lit(None).cast("long")).alias("__row"), F.col(doc_id).cast("long").alias("__doc"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+    nodes = stage(own.mapInArrow(_nodes(words), "doc_id long, row long, n_shingles long, key binary, sig binary"), "nodes")
     classes = nodes.where("n_shingles > 0").groupBy("key").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
     classes = stage(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
+    in_bands = BANDS * classes.count()
     salts = F.array(*[F.lit(s) for s in _HUB_SALTS])
     bands = classes.select("cid", F.explode(F.array(*[F.struct(F.xxhash64(F.substring("sig", 1 + 4 * ROWS * b, 4 * ROWS), F.lit(b)).alias("bucket"), F.lit(b % len(_HUB_SALTS)).alias("kind")) for b in range(BANDS)])).alias("x")).select("cid", "x.bucket", "x.kind")
     hubs = bands.groupBy("bucket", "kind").agg(F.min(F.col("cid").bitwiseXOR(F.element_at(salts, F.col("kind") + 1))).alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    hubs = hubs.select("bucket", F.col("least").bitwiseXOR(F.element_at(salts, F.col("kind") + 1)).alias("hub"))
-    members = stage(bands.select("cid", "bucket").join(hubs, "bucket"), "members")
+    hubs = hubs.select("bucket", "n", F.col("least").bitwiseXOR(F.element_at(salts, F.col("kind") + 1)).alias("hub"))
+    members = stage(spread_join(bands.select("cid", "bucket"), hubs, ["bucket"], in_bands), "members")
 
     involved = members.select("cid").distinct()
     need = involved.join(classes.select("cid", "key", "rep"), "cid")
@@ -204,14 +205,14 @@ def near_dedup(df: DataFrame, words: int = 5, percent: int = 80, text: str = "te
     links = stage(verified(first), "links")
     roots = stage(components(links), "roots")
 
-    def mixed() -> tuple[DataFrame, DataFrame]:
-        """Members of buckets of several components with their roots, and each such bucket's main component."""
+    def mixed() -> DataFrame:
+        """Members of buckets of several components, with their roots and their buckets' main components."""
         rooted = members.select("bucket", "cid").join(roots.withColumnRenamed("node", "cid"), "cid", "left").select("bucket", "cid", F.coalesce("root", "cid").alias("root"))
-        main = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket", F.col("m.root").alias("main"))
-        return stage(rooted.join(main, "bucket"), "mixed"), main
+        main = rooted.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n")).groupBy("bucket").agg(F.max(F.struct("n", "root")).alias("m"), F.sum("n").alias("n"), F.count(F.lit(1)).alias("k")).where("k > 1").select("bucket", "n", F.col("m.root").alias("main"))
+        return stage(spread_join(rooted, main, ["bucket"], in_bands), "mixed")
 
     # What no hub has linked is compared with more members of its buckets' main components,
-    now, _ = mixed()
+    now = mixed()
     more_hubs = now.where("root = main").groupBy("bucket").agg(F.array(*[F.min(F.col("cid").bitwiseXOR(F.lit(x))).bitwiseXOR(F.lit(x)) for x in _MORE_SALTS]).alias("hubs"))
     again = now.where("root <> main").join(more_hubs, "bucket").select("cid", F.explode("hubs").alias("hub"))
     more = stage(verified(again.select(F.least("cid", "hub").alias("a"), F.greatest("cid", "hub").alias("b")).distinct()), "links")
@@ -219,7 +220,7 @@ def near_dedup(df: DataFrame, words: int = 5, percent: int = 80, text: str = "te
         links = links.unionAll(more)
         roots = stage(components(links), "roots")
     # and what is still apart with every member of them, block by block.
-    now, _ = mixed()
+    now = mixed()
     apart = now.where("root <> main").groupBy("bucket").agg(F.min("cid").alias("one"))
     family = components(now.select("bucket", "cid").join(apart, "bucket").select(F.col("cid").alias("a"), F.col("one").alias("b")))
     body = stage(now.groupBy("cid").agg(F.first("root").alias("root"), F.max(F.col("root") != F.col("main")).alias("apart")).join(family.select(F.col("node").alias("cid"), F.col("root").alias("family")), "cid").join(classes.select("cid", "sig"), "cid").join(grams, "cid"), "family")
@@ -232,10 +233,10 @@ def near_dedup(df: DataFrame, words: int = 5, percent: int = 80, text: str = "te
     final = roots if last.isEmpty() else components(links.unionAll(last))
     labelled = classes.select("cid", "key", "rep").join(final.withColumnRenamed("node", "cid"), "cid", "left").withColumn("root", F.coalesce("root", "cid"))
     least = labelled.groupBy("root").agg(F.min("rep").alias("component"))
-    by_key = labelled.join(least, "root").select("key", "component")
-    out = nodes.select("doc_id", "n_shingles", "key").join(by_key, "key", "left")
+    by_key = labelled.join(least, "root").select("key", "component", F.col("root").alias("group"))
+    out = nodes.select("doc_id", "row", "n_shingles", "key").join(by_key, "key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))
+    return out.select("doc_id", "n_shingles", component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"), *(["row", "group"] if row else []))
 
 
 def op7_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

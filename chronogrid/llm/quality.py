@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import by_bytes, documents, stage
+from .common import by_bytes, documents, spread_join, stage
 from .shingles import column_bytes, word_hashes
 
 #: Labelled documents the document classifier is fitted on, about (a hash sample of the labels where there are more);
@@ -28,8 +28,6 @@ from .shingles import column_bytes, word_hashes
 FIT_ROWS, BINS, BUCKETS = 50_000, 12, 1 << 12
 #: Probability of good quality under which a document is rejected; how much a site can move a document's log-odds.
 REJECT, SITE_WEIGHT = 0.4, 0.5
-#: A site is hot from one in HOT of all documents, so HOT sites at most are; salts that its documents are dealt over.
-HOT, SALTS = 1000, 64
 STATISTICS = ("symbols", "capitals", "digits", "stops", "distinct", "word_length", "length")
 RESULT = ("evidence", "host_rate", "path_rate", "quality_score", "accepted")
 
@@ -209,14 +207,9 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str], text: str = "text
     kh, kp = _strength(hosts), _strength(paths)
     rated = hosts.select("host", ((F.col("good") + kh * base) / (F.col("n") + kh)).alias("host_rate"))
     sites = paths.join(rated, "host").select("host", "path", "n", "host_rate", ((F.col("good") + kp * F.col("host_rate")) / (F.col("n") + kp)).alias("path_rate"))
-    # A hot site's documents are dealt over SALTS keys; at most HOT sites can be hot, so that list is broadcast.
-    hot = F.col("n") * HOT >= total.n
-    salted = sites.withColumn("salt", F.explode(F.when(hot, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0))))).drop("n")
-    marked = scored.join(F.broadcast(paths.where(hot).select("host", "path", F.lit(True).alias("hot"))), ["host", "path"], "left")
-    dealt = marked.withColumn("salt", F.when(F.col("hot"), F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")).otherwise(0))
     inside = lambda p: F.greatest(F.least(p, F.lit(1 - 1e-6)), F.lit(1e-6))
     moved = F.col("odds") + SITE_WEIGHT * (F.log(inside(F.col("path_rate")) / (1 - inside(F.col("path_rate")))) - F.lit(math.log(base / (1 - base))))
-    out = dealt.join(salted, ["host", "path", "salt"]).withColumn("quality_score", 1 / (1 + F.exp(-moved)))
+    out = spread_join(scored.withColumn("number", F.monotonically_increasing_id()), sites, ["host", "path"], total.n).withColumn("quality_score", 1 / (1 + F.exp(-moved)))
     return out.select("row", F.col("odds").alias("evidence"), "host_rate", "path_rate", "quality_score", (F.col("quality_score") >= REJECT).alias("accepted"))
 
 

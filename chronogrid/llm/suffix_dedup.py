@@ -3,15 +3,21 @@
 Every such string holds the leftmost least hash of its 32-byte grams at the same place wherever it
 occurs, so strings are dealt by that anchor and equal ones meet.  Consecutive strings of one anchor
 are a run.  Runs whose anchor is seen once are settled without moving text; runs of equal bytes
-are one variant.  The variants of an anchor are sorted by the suffixes that begin at it:
-prefix polynomial hashes and binary search find common extensions, so that a comparison in the
-mergesort takes logarithmic time; from neighbours' extensions to the right and binary search
-to the left follow the strings that two variants share, and each is verified byte by byte.
+are one variant, whose bytes travel once a batch.  The variants of an anchor are sorted by the suffixes that
+begin at it, and by the reversed prefixes that end there: prefix polynomial hashes and binary search find
+common extensions, so that a comparison in the mergesort takes logarithmic time, and every extension of
+neighbours is verified byte by byte.  A string that begins o bytes before the anchor is shared by the
+variants that lie together in both orders, as far as neighbours agree on o bytes to the left and the rest to
+the right; so no pairs are formed, however many variants an anchor has.
+
+An anchor of more than HELD occurrences isn't given to one task: its strings are counted one by one, by their
+128-bit cryptographic digests.
 """
 
 from __future__ import annotations
 
 import hashlib
+import os
 from collections.abc import Iterator
 
 import numpy as np
@@ -19,25 +25,24 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, documents, stage
+from .common import by_bytes, documents, drop, stage
 from .shingles import BASE, column_bytes, mix, powers
 
 _U = np.uint64
-#: Bytes of a gram; variants of one anchor that are compared by sorting, and that one task may hold at all.
-GRAM, SORTED, HELD = 32, 64, 20_000
-#: String starts handled at a time, however long a text is.
-TILE = 1 << 20
-_SECOND = 0xC2B2AE3D27D4EB4F
+#: Bytes of a gram; occurrences of one anchor that one task may hold.
+GRAM, HELD = 32, 20_000
+#: String starts handled at a time, however long a text is; bytes of variants sorted at a time.
+TILE, SORT_BYTES = 1 << 19, 1 << 20
 
 
-def _prefix(data: np.ndarray, base: int = BASE) -> np.ndarray:
+def _prefix(data: np.ndarray) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return np.concatenate([[_U(0)], np.cumsum((data.astype(_U) + _U(1)) * powers(len(data) + 1, base)[: len(data)], dtype=_U)])
+        return np.concatenate([[_U(0)], np.cumsum((data.astype(_U) + _U(1)) * powers(len(data) + 1)[: len(data)], dtype=_U)])
 
 
-def _hash(pre: np.ndarray, at: np.ndarray, n: np.ndarray | int, base: int = BASE) -> np.ndarray:
+def _hash(pre: np.ndarray, at: np.ndarray, n: np.ndarray | int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        return mix((pre[at + n] - pre[at]) * powers(len(pre), pow(base, -1, 1 << 64))[at])
+        return mix((pre[at + n] - pre[at]) * powers(len(pre), pow(BASE, -1, 1 << 64))[at])
 
 
 def _tiles(offsets: np.ndarray, length: int) -> Iterator[tuple[int, int]]:
@@ -80,7 +85,7 @@ def runs(data: np.ndarray, offsets: np.ndarray, length: int) -> Iterator[tuple[n
 
 def _anchors(length: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_bytes(batches, "text", 1 << 20):
+        for part in by_bytes(batches, "text", TILE):
             data, offsets = column_bytes(part.column("text"))
             owner = np.asarray(part.column("owner"))
             # Over all tiles, so that what a long text repeats in another tile counts; a run that a tile's edge cuts has one anchor.
@@ -89,29 +94,58 @@ def _anchors(length: int):
                 continue
             text, p, h = map(np.concatenate, zip(*tiles))
             own = np.concatenate([[True], p[1:] != p[:-1]])
-            pairs = np.rec.fromarrays([h[own], owner[text[own]]], names="h,o")
-            found, n = np.unique(pairs, return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found.h), pa.array(found.o), pa.array(n > 1)], names=["h", "owner", "often"])
+            h, o = h[own], owner[text[own]]
+            order = np.lexsort((o, h))
+            h, o = h[order], o[order]
+            first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (o[1:] != o[:-1])]))
+            often = np.diff(np.append(first, len(h))) > 1
+            yield pa.RecordBatch.from_arrays([pa.array(h[first]), pa.array(o[first]), pa.array(often)], names=["h", "owner", "often"])
 
     return run
 
 
-def _segments(length: int):
+_SEGMENT = pa.schema([("variant", pa.binary()), ("h", pa.int64()), ("left", pa.int32()), ("segment", pa.binary()), ("strings", pa.list_(pa.binary())), ("keys", pa.list_(pa.binary())), ("ats", pa.list_(pa.int64()))])
+
+
+def _digest(x: bytes, key: int = 0) -> bytes:
+    return hashlib.blake2b(x, digest_size=16, key=key.to_bytes(4, "little")).digest()
+
+
+def _segments(length: int, texts: bool):
+    """A row for each variant of a batch: its bytes, or the digests of its strings where the anchor is hot, and its places.
+
+    With ``texts`` also a row for each text: its bytes as segment and its key, without a variant.
+    """
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_bytes(batches, "text", 1 << 20):
+        for part in by_bytes(batches, "text", TILE):
             data, offsets = column_bytes(part.column("text"))
             keys = part.column("key").to_pylist()
+            if texts:
+                n = len(keys)
+                none = lambda k: pa.nulls(n, _SEGMENT.field(k).type)
+                own = pa.ListArray.from_arrays(np.arange(n + 1, dtype=np.int32), part.column("key"))
+                yield pa.RecordBatch.from_arrays([none("variant"), none("h"), none("left"), part.column("text"), none("strings"), own, none("ats")], schema=_SEGMENT)
             flat = part.column("hs").flatten()
-            wanted = np.unique(np.asarray(flat))
+            wanted, at = np.unique(np.asarray(flat.field(0)), return_index=True)
+            hot = np.asarray(flat.field(1))[at]
             raw = data.tobytes()
             for text, a, b, p, h in runs(data, offsets, length):
-                keep = np.flatnonzero(np.isin(h, wanted))
-                if not len(keep):
-                    continue
-                seg = [raw[x : y + length] for x, y in zip(a[keep].tolist(), b[keep].tolist())]
-                left = (p - a)[keep]
-                same = [hashlib.blake2b(s, digest_size=16, key=int(k).to_bytes(4, "little")).digest() for s, k in zip(seg, left)]
-                yield pa.RecordBatch.from_arrays([pa.array(same, pa.binary()), pa.array(h[keep]), pa.array(left.astype(np.int32)), pa.array(seg, pa.binary()), pa.array([keys[t] for t in text[keep]], pa.binary()), pa.array(a[keep] - offsets[text[keep]])], names=["variant", "h", "left", "segment", "key", "at"])
+                place = np.minimum(np.searchsorted(wanted, h), len(wanted) - 1)
+                keep = np.flatnonzero(wanted[place] == h)
+                found: dict[bytes, tuple[int, list[bytes], list[int]]] = {}
+                for i, x, y, left in zip(keep.tolist(), a[keep].tolist(), b[keep].tolist(), (p - a)[keep].tolist()):
+                    own = found.setdefault(_digest(raw[x : y + length], left), (i, [], []))
+                    own[1].append(keys[text[i]])
+                    own[2].append(x - int(offsets[text[i]]))
+                for lo in range(0, len(found), 4096):
+                    some = list(found.items())[lo : lo + 4096]
+                    at = np.array([x[0] for _, x in some])
+                    many = hot[place[at]]
+                    body = [raw[a[i] : b[i] + length] for i in at.tolist()]
+                    strings = [[_digest(s[k : k + length]) for k in range(len(s) - length + 1)] if m else None for s, m in zip(body, many)]
+                    body = [None if m else s for s, m in zip(body, many)]
+                    yield pa.RecordBatch.from_arrays([pa.array([v for v, _ in some], pa.binary()), pa.array(h[at]), pa.array((p - a)[at].astype(np.int32)), pa.array(body, pa.binary()), pa.array(strings, pa.list_(pa.binary())), pa.array([x[1] for _, x in some], pa.list_(pa.binary())), pa.array([x[2] for _, x in some], pa.list_(pa.int64()))], schema=_SEGMENT)
 
     return run
 
@@ -135,15 +169,6 @@ class Suffixes:
             lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
         return lo
 
-    def behind(self, x: np.ndarray, y: np.ndarray, most: np.ndarray) -> np.ndarray:
-        """Longest n <= most with data[x - n : x] == data[y - n : y]."""
-        lo, hi = np.zeros(len(x), np.int64), np.asarray(most, np.int64).copy()
-        while (lo < hi).any():
-            mid = (lo + hi + 1) >> 1
-            same = self._equal(x - mid, y - mid, mid)
-            lo, hi = np.where(same, mid, lo), np.where(same, hi, mid - 1)
-        return lo
-
     def before(self, x: np.ndarray, nx: np.ndarray, y: np.ndarray, ny: np.ndarray) -> np.ndarray:
         """data[x : x + nx] < data[y : y + ny]."""
         n = self.ahead(x, y, np.minimum(nx, ny))
@@ -183,104 +208,95 @@ class Suffixes:
         return order
 
 
-def _by_sorting(sfx: Suffixes, raw: bytes, base: np.ndarray, left: np.ndarray, size: np.ndarray, group: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """(variant, first start, last start) relative to the variant's begin, of strings that another variant has too."""
-    order = sfx.mergesort(base + left, size - left, group)
-    base, left, size, g = base[order], left[order], size[order], group[order]
-    p, right = base + left, size - left
-    out: list[tuple[int, int, int]] = []
-    n, step = len(order), 1
-    reach = None
-    while True:
-        i = np.arange(n - step)
-        i = i[g[i] == g[i + step]]
-        if not len(i):
-            return out
-        if step == 1:
-            near = np.zeros(n, np.int64)
-            near[i] = sfx.ahead(p[i], p[i + 1], np.minimum(right[i], right[i + 1]))
-            reach = near.copy()
-        else:
-            reach[i] = np.minimum(reach[i], near[i + step - 1])
-        j = i + step
-        back = sfx.behind(p[i], p[j], np.minimum(left[i], left[j]))
-        # A string that begins o bytes before the anchor is shared when back >= o and reach >= length - o.
-        hi = back
-        lo = np.maximum(length - reach[i], 0)
-        for k in np.flatnonzero(lo <= hi):
-            x, y, o1, o2 = i[k], j[k], int(lo[k]), int(hi[k])
-            u, v = int(p[x]), int(p[y])
-            if raw[u - o2 : u - o1 + length] != raw[v - o2 : v - o1 + length]:
-                raise ArithmeticError("prefix hashes collide; choose another base")
-            out.append((int(order[x]), int(left[x]) - o2, int(left[x]) - o1))
-            out.append((int(order[y]), int(left[y]) - o2, int(left[y]) - o1))
-        step += 1
-
-
-def _by_strings(sfx: Suffixes, raw: bytes, base: np.ndarray, left: np.ndarray, size: np.ndarray, length: int) -> list[tuple[int, int, int]]:
-    """As _by_sorting, for many variants of one anchor: equal hashes of whole strings, verified against the first."""
-    count = size - length + 1
-    own = np.repeat(np.arange(len(base)), count)
-    rel = np.arange(len(own)) - np.repeat(np.cumsum(count) - count, count)
-    at = base[own] + rel
-    h = _hash(sfx.pre, at, length)
-    order = np.argsort(h, kind="stable")
-    same = np.concatenate([[False], h[order][1:] == h[order][:-1]])
-    first = np.maximum.accumulate(np.where(same, 0, np.arange(len(h))))
-    hit = np.zeros(len(h), bool)
-    for k in np.flatnonzero(same):
-        x, y = int(at[order[k]]), int(at[order[first[k]]])
-        if raw[x : x + length] != raw[y : y + length]:
-            raise ArithmeticError("prefix hashes collide; choose another base")
-    hit[order[same]] = True
-    hit[order[first[same]]] = True
-    found = np.flatnonzero(hit)
-    cut = np.flatnonzero(np.concatenate([[True], (own[found][1:] != own[found][:-1]) | (found[1:] != found[:-1] + 1)])) if len(found) else found
-    ends = np.append(cut[1:], len(found)) - 1
-    return [(int(own[found[c]]), int(rel[found[c]]), int(rel[found[e]])) for c, e in zip(cut, ends)]
+def _sorted(data: np.ndarray, at: np.ndarray, size: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Order of the suffixes data[at : at + size] within their groups, and how far each agrees with the next (0 at a group's end)."""
+    sfx = Suffixes(data)
+    order = sfx.mergesort(at, size, group)
+    x, n, g = at[order], size[order], group[order]
+    near = sfx.ahead(x[:-1], x[1:], np.minimum(n[:-1], n[1:]))
+    raw = data.tobytes()
+    same = g[:-1] == g[1:]
+    for k in np.flatnonzero(same & (near > 0)).tolist():
+        u, v, m = int(x[k]), int(x[k + 1]), int(near[k])
+        if raw[u : u + m] != raw[v : v + m]:
+            return _plainly_sorted(raw, at, size, group)  # hashes have collided
+    return order, np.append(np.where(same, near, 0), 0)
+
+
+def _plainly_sorted(raw: bytes, at: np.ndarray, size: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """As _sorted, by comparing bytes."""
+    suffix = [raw[a : a + n] for a, n in zip(at.tolist(), size.tolist())]
+    order = sorted(range(len(at)), key=lambda i: (group[i], suffix[i]))
+    near = np.zeros(len(at), np.int64)
+    for k, (i, j) in enumerate(zip(order, order[1:])):
+        if group[i] == group[j]:
+            near[k] = len(os.path.commonprefix([suffix[i], suffix[j]]))
+    return np.array(order, np.int64), near
+
+
+def shared_strings(raw: bytes, base: np.ndarray, left: np.ndarray, size: np.ndarray, group: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(variant, first start, last start), relative to the variant's begin, of strings that another variant of its group has too.
+
+    Variant i is raw[base : base + size] with its anchor ``left`` bytes in; those of a group lie together.
+    """
+    data = np.frombuffer(raw, np.uint8)
+    anchor, right, n = base + left, size - left, len(base)
+    order_r, near_r = _sorted(data, anchor, right, group)
+    order_l, near_l = _sorted(data[::-1], len(data) - anchor, left, group)
+    new = lambda order: np.concatenate([[True], group[order][1:] != group[order][:-1]])
+    new_r, new_l = new(order_r), new(order_l)
+    hit = np.zeros((n, length - GRAM + 1), bool)
+    class_r, class_l = np.empty(n, np.int64), np.empty(n, np.int64)
+    for o in range(length - GRAM + 1):
+        own = np.flatnonzero((left >= o) & (right >= length - o))
+        if len(own) < 2:
+            continue
+        class_r[order_r] = np.cumsum(new_r | np.concatenate([[True], near_r[:-1] < length - o]))
+        class_l[order_l] = np.cumsum(new_l | np.concatenate([[True], near_l[:-1] < o]) if o else new_l)
+        both = class_r[own] * (n + 1) + class_l[own]
+        by = np.argsort(both, kind="stable")
+        same = both[by][1:] == both[by][:-1]
+        hit[own[by[1:][same]], o] = True
+        hit[own[by[:-1][same]], o] = True
+    # Starts run against o: the string that begins o bytes before the anchor starts at left - o.
+    edge = np.diff(np.pad(hit[:, ::-1], ((0, 0), (1, 1))).astype(np.int8), axis=1)
+    v, a = np.nonzero(edge == 1)
+    _, b = np.nonzero(edge == -1)
+    top = length - GRAM
+    return v, left[v] - (top - a), left[v] - (top - b + 1)
 
 
 def _compare(length: int):
     schema = pa.schema([("variant", pa.binary()), ("first", pa.int32()), ("last", pa.int32())])
 
-    def solve(rows: list[tuple]) -> pa.RecordBatch | None:
-        """rows: (h, variant, left, segment, n) of whole anchors, in order of h."""
-        raw = b"".join(r[3] for r in rows)
-        size = np.array([len(r[3]) for r in rows], np.int64)
-        base, left = np.cumsum(size) - size, np.array([r[2] for r in rows], np.int64)
-        group = np.unique(np.array([r[0] for r in rows], np.int64), return_inverse=True)[1]
-        many = np.bincount(group)[group]
-        found = [(i, 0, len(r[3]) - length) for i, r in enumerate(rows) if r[4] > 1]
-        data = np.frombuffer(raw, np.uint8)
-        if (many > 1).any():
-            sfx = Suffixes(data)
-            few = np.flatnonzero((many > 1) & (many <= SORTED))
-            if len(few):
-                found += [(int(few[i]), a, b) for i, a, b in _by_sorting(sfx, raw, base[few], left[few], size[few], group[few], length)]
-            for g in np.unique(group[many > SORTED]):
-                own = np.flatnonzero(group == g)
-                found += [(int(own[i]), a, b) for i, a, b in _by_strings(sfx, raw, base[own], left[own], size[own], length)]
+    def solve(rows: list[list]) -> pa.RecordBatch | None:
+        """rows: [h, variant, left, segment, n], distinct variants of whole anchors in order of h."""
+        found = [(r[1], 0, len(r[3]) - length) for r in rows if r[4] > 1]
+        h = np.array([r[0] for r in rows], np.int64)
+        group = np.cumsum(np.concatenate([[0], h[1:] != h[:-1]]))
+        many = np.flatnonzero((np.bincount(group)[group] > 1))
+        if len(many):
+            part = [rows[i] for i in many.tolist()]
+            size = np.array([len(r[3]) for r in part], np.int64)
+            v, a, b = shared_strings(b"".join(r[3] for r in part), np.cumsum(size) - size, np.array([r[2] for r in part], np.int64), size, group[many], length)
+            found += [(part[i][1], x, y) for i, x, y in zip(v.tolist(), a.tolist(), b.tolist()) if part[i][4] == 1]
         if not found:
             return None
-        found = sorted(set(found))
-        merged: list[list[int]] = []
-        for i, a, b in found:
-            if merged and merged[-1][0] == i and a <= merged[-1][2] + 1:
-                merged[-1][2] = max(b, merged[-1][2])
-            else:
-                merged.append([i, a, b])
-        return pa.RecordBatch.from_arrays([pa.array([rows[i][1] for i, _, _ in merged], pa.binary()), pa.array([a for _, a, _ in merged], pa.int32()), pa.array([b for _, _, b in merged], pa.int32())], schema=schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*found), schema)], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple] = []
+        held: list[list] = []
         weight = 0
         for batch in batches:
             for row in zip(*(batch.column(k).to_pylist() for k in ("h", "variant", "left", "segment", "n"))):
-                if weight > 1 << 20 and held[-1][0] != row[0]:
+                if held and held[-1][1] == row[1]:
+                    held[-1][4] += row[4]
+                    continue
+                if weight > SORT_BYTES and held[-1][0] != row[0]:
                     if (out := solve(held)) is not None:
                         yield out
                     held, weight = [], 0
-                held.append(row)
+                held.append(list(row))
                 weight += len(row[3])
         if held and (out := solve(held)) is not None:
             yield out
@@ -288,44 +304,36 @@ def _compare(length: int):
     return run
 
 
-def _strings(length: int):
-    """Every string of a variant as two hashes: for anchors of more variants than a task may hold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for variant, n, seg in zip(*(batch.column(k).to_pylist() for k in ("variant", "n", "segment"))):
-                data = np.frombuffer(seg, np.uint8)
-                at = np.arange(len(seg) - length + 1)
-                x, y = _hash(_prefix(data), at, length).view(np.int64), _hash(_prefix(data, _SECOND), at, length, _SECOND).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(x), pa.array(y), pa.array([variant] * len(at), pa.binary()), pa.array(at.astype(np.int32)), pa.array(np.full(len(at), n))], names=["x", "y", "variant", "first", "n"])
-
-    return run
+def _keyed(df: DataFrame, text: str, doc_id: str) -> DataFrame:
+    """(doc_id, text as bytes, key): key is the first 16 bytes of the text's sha256."""
+    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    return rows.withColumn("key", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))
 
 
-def repeated_spans(df: DataFrame, length: int = 200, text: str = "text", doc_id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(spans, classes): spans (key, spans array<struct<first, last>>) of string starts by distinct text,
-    classes (key, copies); key is the first 16 bytes of the text's sha256."""
-    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
-    rows = rows.withColumn("key", F.substring(F.unhex(F.sha2("text", 256)), 1, 16))
-    classes = stage(rows.where(F.octet_length("text") >= length).groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "texts")
+def repeated_spans(df: DataFrame, length: int = 200, text: str = "text", doc_id: str = "doc_id", texts: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(spans, classes, segments): spans (key, spans array<struct<first, last>>) of string starts by distinct text,
+    classes (key, copies) of texts of ``length`` bytes and more; with ``texts`` segments have the texts with shared anchors."""
+    rows = _keyed(df, text, doc_id).where(F.octet_length("text") >= length)
+    classes = stage(rows.groupBy("key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("copies")), "texts")
     anchors = rows.select(F.xxhash64("key").alias("owner"), "text").mapInArrow(_anchors(length), "h long, owner long, often boolean")
     anchors = stage(anchors, "anchors")
-    shared = anchors.groupBy("h").agg(F.min("owner").alias("x"), F.max("owner").alias("y"), F.max("often").alias("often")).where("x <> y OR often").select("h")
-    hit = anchors.select("h", "owner").distinct().join(shared, "h").groupBy("owner").agg(F.collect_list("h").alias("hs"))
+    shared = anchors.groupBy("h").agg(F.min("owner").alias("x"), F.max("owner").alias("y"), F.max("often").alias("often"), F.count(F.lit(1)).alias("c")).where("x <> y OR often").select("h", (F.col("c") > HELD).alias("hot"))
+    hit = anchors.select("h", "owner").join(shared, "h").groupBy("owner").agg(F.collect_set(F.struct("h", "hot")).alias("hs"))
     need = classes.select("key", "rep", F.xxhash64("key").alias("owner")).join(hit, "owner").select(F.col("key").alias("k"), "rep", "hs")
+    # By id as well, so that the copies of one text don't meet in one task.
     found = rows.join(need, (F.col("key") == F.col("k")) & F.col("doc_id").eqNullSafe(F.col("rep"))).select("key", "text", "hs")
-    segments = stage(found.mapInArrow(_segments(length), "variant binary, h long, left int, segment binary, key binary, at long"), "segments")
-    variants = segments.groupBy("variant").agg(F.first("h").alias("h"), F.first("left").alias("left"), F.first("segment").alias("segment"), F.count(F.lit(1)).alias("n"))
-    variants = stage(variants, "variants")
-    by_anchor = variants.groupBy("h").agg(F.count(F.lit(1)).alias("m"), F.max("n").alias("most")).where("m > 1 OR most > 1")
-    sized = variants.join(by_anchor.select("h", "m"), "h")
-    held = sized.where(F.col("m") <= HELD).repartition("h").sortWithinPartitions("h").mapInArrow(_compare(length), "variant binary, first int, last int")
-    strings = sized.where(F.col("m") > HELD).mapInArrow(_strings(length), "x long, y long, variant binary, first int, n long")
-    twice = strings.groupBy("x", "y").agg(F.min("variant").alias("u"), F.max("variant").alias("v"), F.max("n").alias("n"), F.count(F.lit(1)).alias("c")).where("c > 1 OR n > 1").select("x", "y")
-    hot = strings.join(twice, ["x", "y"]).select("variant", "first", F.col("first").alias("last"))
-    where = held.unionByName(hot)
-    spans = segments.select("variant", "key", "at").join(where, "variant").groupBy("key").agg(F.collect_list(F.struct((F.col("at") + F.col("first")).alias("first"), (F.col("at") + F.col("last")).alias("last"))).alias("spans"))
-    return spans, classes.select("key", "copies")
+    segments = stage(found.mapInArrow(_segments(length, texts), "variant binary, h long, left int, segment binary, strings array<binary>, keys array<binary>, ats array<long>"), "segments")
+    drop(anchors)
+    own = segments.where(F.col("variant").isNotNull())
+    n = F.size("keys").cast("long").alias("n")
+    cold = own.where("segment IS NOT NULL").select("h", "variant", "left", "segment", n).repartition("h").sortWithinPartitions("h", "variant").mapInArrow(_compare(length), "variant binary, first int, last int")
+    strings = own.where("strings IS NOT NULL").select("variant", n, F.posexplode("strings").alias("first", "digest"))
+    twice = strings.groupBy("digest").agg(F.sum("n").alias("c")).where("c > 1").select("digest")
+    hot = strings.join(twice, "digest").select("variant", "first", F.col("first").alias("last")).distinct()
+    where = cold.unionByName(hot).groupBy("variant").agg(F.collect_list(F.struct("first", "last")).alias("hits"))
+    placed = own.select("variant", "keys", "ats").join(where, "variant").select(F.explode(F.arrays_zip("keys", "ats")).alias("p"), "hits")
+    spans = placed.select(F.col("p.keys").alias("key"), F.transform("hits", lambda x: F.struct((F.col("p.ats") + x["first"]).alias("first"), (F.col("p.ats") + x["last"]).alias("last"))).alias("s")).groupBy("key").agg(F.flatten(F.collect_list("s")).alias("spans"))
+    return spans, classes.select("key", "copies"), segments
 
 
 def merge_spans(spans: list[tuple[int, int]], length: int) -> list[tuple[int, int]]:
@@ -339,44 +347,62 @@ def merge_spans(spans: list[tuple[int, int]], length: int) -> list[tuple[int, in
     return [(a, b) for a, b in out]
 
 
-def mark_repeats(df: DataFrame, length: int = 200, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """The input and ``__spans``: array<struct<first, last>> of the starts of repeated strings, null where there is none.
+def mark_repeats(df: DataFrame, keep: list[str], length: int = 200, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """(row, spans): each input row as a struct of the columns ``keep``, and array<struct<first, last>> of the starts of
+    repeated strings, null where there is none.
 
     A text that occurs again as a whole is repeated throughout.
     """
-    spans, classes = repeated_spans(df, length, text, doc_id)
-    size = F.octet_length(F.coalesce(F.col(text), F.lit("")))
-    copied = classes.where("copies > 1").select(F.col("key").alias("__k"), F.lit(True).alias("__copied"), F.lit(None).cast("array<struct<first:bigint,last:bigint>>").alias("__found"))
-    single = spans.join(classes.where("copies = 1"), "key", "left_semi").select(F.col("key").alias("__k"), F.lit(False).alias("__copied"), F.col("spans").alias("__found"))
-    known = copied.unionByName(single)
-    keyed = df.withColumn("__key", F.substring(F.unhex(F.sha2(F.coalesce(F.col(text), F.lit("")).cast("binary"), 256)), 1, 16))
-    out = keyed.join(known, F.col("__key") == F.col("__k"), "left")
-    whole = F.array(F.struct(F.lit(0).cast("long").alias("first"), (size - length).cast("long").alias("last")))
-    return out.withColumn("__spans", F.when(F.col("__copied"), whole).otherwise(F.col("__found"))).drop("__key", "__k", "__copied", "__found")
+    spans, classes, _ = repeated_spans(df, length, text, doc_id)
+    shape = "array<struct<first:bigint,last:bigint>>"
+    copied = classes.where("copies > 1").select(F.col("key").alias("k"), F.lit(True).alias("copied"), F.lit(None).cast(shape).alias("found"))
+    single = spans.join(classes.where("copies = 1"), "key", "left_semi").select(F.col("key").alias("k"), F.lit(False).alias("copied"), F.col("spans").alias("found"))
+    value = F.coalesce(F.col(text), F.lit(""))
+    keyed = df.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.substring(F.unhex(F.sha2(value.cast("binary"), 256)), 1, 16).alias("key"), F.octet_length(value).alias("size"))
+    out = keyed.join(copied.unionByName(single), F.col("key") == F.col("k"), "left")
+    whole = F.array(F.struct(F.lit(0).cast("long").alias("first"), (F.col("size") - length).cast("long").alias("last")))
+    return out.select("row", F.when(F.col("copied"), whole).otherwise(F.col("found")).alias("spans"))
 
 
-def suffix_dedup(df: DataFrame, length: int = 200, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
-
-    Null and empty texts have no bytes; texts under ``length`` bytes lose none; repeated rows count as
-    copies of each other; an empty table gives an empty result; extra columns are not read.
-    """
-    own = df.select(F.col(doc_id).cast("long").alias("__doc"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
+def _cut(length: int):
+    """(key, n_removed, n_spans, kept_sha256) of texts with the spans of their repeated strings."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_bytes(batches, "__text"):
-            n, gone, k, sha = [], [], [], []
-            for t, s in zip(part.column("__text").cast(pa.binary()).to_pylist(), part.column("__spans").to_pylist()):
-                cut = merge_spans([(x["first"], x["last"]) for x in s or ()], length)
-                n.append(len(t))
+        for part in by_bytes(batches, "text"):
+            gone, k, sha = [], [], []
+            for t, s in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
+                cut = merge_spans([(x["first"], x["last"]) for x in s], length)
                 gone.append(sum(b - a for a, b in cut))
                 k.append(len(cut))
                 edges = [0, *(x for c in cut for x in c), len(t)]
                 sha.append(hashlib.sha256(b"".join(t[a:b] for a, b in zip(edges[::2], edges[1::2]))).hexdigest())
-            yield pa.RecordBatch.from_arrays([part.column("__doc"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(k, pa.int64()), pa.array(sha, pa.string())], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+            yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(gone, pa.int64()), pa.array(k, pa.int64()), pa.array(sha, pa.string())], names=["key", "n_removed", "n_spans", "kept_sha256"])
+
+    return run
+
+
+def suffix_dedup(df: DataFrame, length: int = 200, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """One row per input row: doc_id, n_bytes, n_removed, n_spans, kept_sha256.
 
-    marked = mark_repeats(own, length, "__text", "__doc")
-    return marked.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    Null and empty texts have no bytes; texts under ``length`` bytes lose none; repeated rows count as
+    copies of each other; an empty table gives an empty result; extra columns are not read.
+    """
+    spans, classes, segments = repeated_spans(df, length, text, doc_id, texts=True)
+    # Texts are cut where they are, in the table of those with shared anchors: what is joined to all rows is a few numbers.
+    texts = segments.where("variant IS NULL").select(F.element_at("keys", 1).alias("key"), F.col("segment").alias("text"))
+    cut = texts.join(classes.where("copies = 1").select("key"), "key", "left_semi").join(spans, "key").select("key", "text", "spans").mapInArrow(_cut(length), "key binary, n_removed long, n_spans long, kept_sha256 string")
+    copied = classes.where("copies > 1").select("key", F.lit(None).cast("long").alias("n_removed"), F.lit(1).cast("long").alias("n_spans"), F.lit(hashlib.sha256(b"").hexdigest()).alias("kept_sha256"))
+    known = cut.unionByName(copied).select(F.col("key").alias("k"), F.col("n_removed").alias("gone"), "n_spans", "kept_sha256")
+    value = F.coalesce(F.col(text), F.lit("")).cast("binary")
+    rows = df.select(F.col(doc_id).cast("long").alias("doc_id"), F.octet_length(value).cast("long").alias("n_bytes"), F.sha2(value, 256).alias("sha"))
+    out = rows.withColumn("key", F.substring(F.unhex("sha"), 1, 16)).join(known, F.col("key") == F.col("k"), "left")
+    return out.select(
+        "doc_id",
+        "n_bytes",
+        F.when(F.col("k").isNull(), 0).otherwise(F.coalesce("gone", "n_bytes")).cast("long").alias("n_removed"),
+        F.coalesce("n_spans", F.lit(0).cast("long")).alias("n_spans"),
+        F.coalesce("kept_sha256", "sha").alias("kept_sha256"),
+    )
 
 
 def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

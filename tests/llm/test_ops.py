@@ -181,9 +181,9 @@ def spans(texts, length=200):
     return out
 
 
-@pytest.mark.parametrize("held,few", [(20_000, 64), (20_000, 1), (1, 1)])
-def test_suffix_dedup(spark, corpus, empty, monkeypatch, held, few):
-    """By sorting, by whole strings in a task, and by strings dealt over tasks."""
+@pytest.mark.parametrize("held", [20_000, 1])
+def test_suffix_dedup(spark, corpus, empty, monkeypatch, held):
+    """By sorting an anchor's variants in a task, and by strings dealt over tasks."""
     monkeypatch.setattr(suffix_dedup, "HELD", held)
     df, rows = corpus
     want = sorted((r[0], *s) for r, s in zip(rows, spans([(r[1] or "").encode() for r in rows])))
@@ -192,13 +192,30 @@ def test_suffix_dedup(spark, corpus, empty, monkeypatch, held, few):
     assert suffix_dedup.suffix_dedup(empty).count() == 0
 
 
-def test_suffix_dedup_by_whole_strings(spark, corpus, monkeypatch):
-    """Anchors of more than SORTED variants, in a task, give what sorting gives."""
-    monkeypatch.setattr(suffix_dedup, "SORTED", 1)
-    monkeypatch.setattr(suffix_dedup, "_by_sorting", None)
-    df, rows = corpus
-    want = sorted((r[0], *s) for r, s in zip(rows, spans([(r[1] or "").encode() for r in rows])))
-    assert sorted(tuple(r) for r in suffix_dedup.suffix_dedup(df).collect()) == want
+def test_suffix_dedup_where_hashes_collide(spark, corpus, monkeypatch):
+    """Extensions that hashes overstate are found out and compared by bytes."""
+    monkeypatch.setattr(suffix_dedup.Suffixes, "_equal", lambda self, x, y, n: np.ones(len(x), bool))
+    rows = [(b"ab" * 60 + b"x" * 100 + bytes([97 + i % 3]) * 90) for i in range(7)]
+    size = np.array([len(r) for r in rows])
+    v, a, b = suffix_dedup.shared_strings(b"".join(rows), np.cumsum(size) - size, np.full(7, 100), size, np.zeros(7, np.int64), 200)
+    got = {(int(i), k) for i, x, y in zip(v, a, b) for k in range(x, y + 1)}
+    seen = Counter(r[k : k + 200] for r in rows for k in range(len(r) - 199))
+    assert got == {(i, k) for i, r in enumerate(rows) for k in range(len(r) - 199) if seen[r[k : k + 200]] > 1 and 0 <= 100 - k <= 168}
+
+
+def test_suffix_dedup_of_one_character(spark):
+    """A megabyte of one character: every string of it repeats; its one variant's bytes are kept once."""
+    import pyarrow as pa
+
+    text = "a" * (1 << 20)
+    got = suffix_dedup.suffix_dedup(spark.createDataFrame([(1, text), (2, "b" * 199 + "c"), (3, "xy" * 150)], "doc_id long, text string"))
+    none = hashlib.sha256(b"").hexdigest()
+    assert sorted(tuple(r) for r in got.collect()) == [(1, 1 << 20, 1 << 20, 1, none), (2, 200, 0, 0, hashlib.sha256(b"b" * 199 + b"c").hexdigest()), (3, 300, 300, 1, none)]
+    data = np.frombuffer(text[:70_000].encode(), np.uint8)
+    h = np.unique(np.concatenate([x[4] for x in suffix_dedup.runs(data, np.array([0, len(data)]), 200)]))
+    hs = pa.array([[{"h": int(x), "hot": False} for x in h]], pa.list_(pa.struct([("h", pa.int64()), ("hot", pa.bool_())])))
+    batch = pa.RecordBatch.from_arrays([pa.array([b"k"], pa.binary()), pa.array([data.tobytes()], pa.binary()), hs], names=["key", "text", "hs"])
+    assert sum(len(r["segment"]) for b in suffix_dedup._segments(200, False)([batch]) for r in b.to_pylist()) < 2000
 
 
 def test_suffix_mergesort():
@@ -214,22 +231,28 @@ def test_suffix_mergesort():
 
 
 def test_many_variants_of_an_anchor():
+    """Groups of one to a hundred variants against brute force, pairs that agree to either side included."""
     rng = np.random.default_rng(2)
-    core = bytes(rng.integers(97, 123, 260).astype(np.uint8))
-    segs = [bytes(rng.integers(97, 123, 40).astype(np.uint8)) + core[: 200 + i % 60] for i in range(100)]
-    rows = [(7, str(i).encode(), 60, s, 1) for i, s in enumerate(segs)]
-
-    class Batch:
-        num_rows = len(rows)
-
-        def column(self, k):
-            at = ("h", "variant", "left", "segment", "n").index(k)
-            return type("C", (), {"to_pylist": lambda _: [r[at] for r in rows]})()
-
-    out = next(iter(suffix_dedup._compare(200)([Batch()]))).to_pylist()
-    got = {(int(r["variant"]), p) for r in out for p in range(r["first"], r["last"] + 1)}
-    seen = Counter(s[i : i + 200] for s in segs for i in range(len(s) - 199))
-    assert got == {(k, i) for k, s in enumerate(segs) for i in range(len(s) - 199) if seen[s[i : i + 200]] > 1}
+    core = bytes(rng.integers(97, 123, 400).astype(np.uint8))
+    segs, left, group = [], [], []
+    for g, m in enumerate((100, 1, 30, 2)):
+        for i in range(m):
+            lo, hi = int(rng.integers(0, 169)), int(rng.integers(32, 200))
+            noise = lambda n: bytes(rng.integers(97, 99, n).astype(np.uint8))
+            before, after = core[200 - lo : 200], core[200 : 200 + hi]
+            before = (noise(int(rng.integers(0, 30))) + before)[-168:]
+            after = (after + noise(int(rng.integers(0, 30))))[:200]
+            pad = 200 - len(before) - len(after)
+            segs.append(before + after + (noise(pad) if pad > 0 else b""))
+            left.append(len(before))
+            group.append(g)
+    size = np.array([len(s) for s in segs])
+    v, a, b = suffix_dedup.shared_strings(b"".join(segs), np.cumsum(size) - size, np.array(left), size, np.array(group), 200)
+    got = {(int(i), k) for i, x, y in zip(v, a, b) for k in range(x, y + 1)}
+    # A string of another offset from the anchor is another string, whatever its bytes.
+    seen = Counter((g, l - i, s[i : i + 200]) for g, l, s in zip(group, left, segs) for i in range(len(s) - 199))
+    assert got == {(k, i) for k, (g, l, s) in enumerate(zip(group, left, segs)) for i in range(len(s) - 199) if 0 <= l - i <= 168 and seen[g, l - i, s[i : i + 200]] > 1}
+    assert len(got) > 100
 
 
 def test_suffix_dedup_over_the_tiles_of_a_long_text(spark):
