@@ -12,58 +12,83 @@ from chronogrid.llm import common, exact_dedup, near_dedup, packing, quality, su
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """The documents with ``__row``, a number of their own; stored, so that it holds for every reader."""
-    return common.stage(docs.withColumn("__row", F.monotonically_increasing_id()), "numbered")
+    """(row, number, doc_id, text): a document as a struct, so that no name of its columns can clash, and a number
+    of its own; stored, so that the number holds for every reader."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    return common.stage(docs.select(row, F.monotonically_increasing_id().alias("number")), "numbered").select("row", "number", "row.doc_id", "row.text")
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts, fitted on the labels of the same folder."""
+    """Documents that the quality classifier accepts, fitted on the labels of the same folder.
+
+    Null texts are judged as empty ones; repeated rows stay or go together; rows are neither merged nor changed;
+    an empty table gives an empty one; columns of any other name are carried along.
+    """
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    return quality.classify(docs, labels).where("accepted").select(docs.columns)
+    host, path = quality.site_columns()
+    return quality.judge(docs, labels, docs.columns, host=host, path=path).where("accepted").select("row.*")
 
 
 def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of texts equal but for white space, the longest, then the smallest doc_id; one row where rows repeat."""
+    """Of texts equal but for white space, the longest, then the smallest doc_id; one row where rows repeat.
+
+    Null and blank texts are equal; null ids come last; an empty table gives an empty one; columns of any other
+    name are carried along.
+    """
     rows = _numbered(docs)
-    kept = exact_dedup.exact_dedup(rows.select("text", F.col("doc_id").alias("doc_id"), "__row"), row="__row").where("kept").select(F.col("row").alias("__kept"))
-    return rows.join(kept, F.col("__row") == F.col("__kept"), "left_semi").select(docs.columns)
+    kept = exact_dedup.exact_dedup(rows.select("text", "doc_id", "number"), row="number").where("kept").select(F.col("row").alias("number"))
+    return rows.select("row", "number").join(kept, "number", "left_semi").select("row.*")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies, the one of the smallest doc_id; five-word shingles."""
-    found = near_dedup.near_dedup(docs).where("kept").select(F.col("doc_id").alias("__kept")).distinct()
-    return docs.join(found, docs["doc_id"].eqNullSafe(F.col("__kept")), "left_semi").select(docs.columns)
+    """One document of each group of near copies, the one of the smallest doc_id; five-word shingles.
+
+    Texts without words are no copies and stay; of several rows of the smallest id one stays; null ids come last;
+    an empty table gives an empty one; columns of any other name are carried along.
+    """
+    rows = _numbered(docs)
+    found = near_dedup.near_dedup(rows.select("text", "doc_id", "number"), row="number")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row"))
+    kept = found.where("group IS NOT NULL").groupBy("group").agg(first.alias("x")).select(F.col("x.row").alias("number")).unionAll(found.where("group IS NULL").select(F.col("row").alias("number")))
+    return rows.select("row", "number").join(kept, "number", "left_semi").select("row.*")
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages of 200 bytes and more that occur again; documents of which nothing is left go.
 
-    A character of which a cut takes some bytes goes as a whole.
+    A character of which a cut takes some bytes goes as a whole.  Null and short texts stay as they are; a row
+    that repeats goes with its copies; an empty table gives an empty one; columns of any other name are carried along.
     """
     fields, length = docs.columns, 200
+    at_text, size = fields.index("text"), fields.index("n_chars") if "n_chars" in fields else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in common.by_bytes(batches, "text"):
-            texts, keep = [], []
-            for i, (t, s) in enumerate(zip(part.column("text").to_pylist(), part.column("__spans").to_pylist())):
-                if s:
-                    raw = t.encode()
-                    edges = [0, *(x for c in suffix_dedup.merge_spans([(x["first"], x["last"]) for x in s], length) for x in c), len(raw)]
-                    t = "".join(raw[a:b].decode("utf-8", "ignore") for a, b in zip(edges[::2], edges[1::2]))
-                    if not t.strip():
-                        continue
-                texts.append(t)
-                keep.append(i)
-            at = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else part.column(c).take(at) for c in fields], names=fields)
-
-    marked = suffix_dedup.mark_repeats(docs, length)
-    out = marked.mapInArrow(run, docs.schema)
-    return out.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in fields else out
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 256):
+                part = batch.slice(lo, 256)
+                columns, spans = part.column("row").flatten(), part.column("spans").to_pylist()
+                texts, keep = columns[at_text].to_pylist(), []
+                for i, s in enumerate(spans):
+                    if s:
+                        raw = texts[i].encode()
+                        edges = [0, *(x for c in suffix_dedup.merge_spans([(x["first"], x["last"]) for x in s], length) for x in c), len(raw)]
+                        texts[i] = "".join(raw[a:b].decode("utf-8", "ignore") for a, b in zip(edges[::2], edges[1::2]))
+                    if not s or texts[i].strip():
+                        keep.append(i)
+                columns[at_text] = pa.array(texts, pa.string())
+                if size is not None:
+                    columns[size] = pa.array([None if t is None else len(t) for t in texts], columns[size].type)
+                yield pa.RecordBatch.from_arrays([c.take(pa.array(keep, pa.int64())) for c in columns], names=fields)
+
+    return suffix_dedup.mark_repeats(docs, fields, length).mapInArrow(run, docs.schema)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all documents and their places in sequences of 2048 tokens."""
+    """The pieces of all documents and their places in sequences of 2048 tokens.
+
+    Null and empty texts are the closing id alone; repeated rows are packed each for itself; an empty table gives
+    an empty result; other columns are not read.
+    """
     return packing.pack_documents(docs)
 
 
