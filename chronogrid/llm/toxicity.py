@@ -24,7 +24,7 @@ from .common import by_bytes, crc_bucket, documents, stage
 
 #: Labelled rows the model is fitted on, about (a hash sample where there are more); landmarks; plain words that the
 #: machine is trained on; entries of a worker's memo of words.
-FIT_ROWS, LANDMARKS, WORDS, MEMO = 20_000, 128, 20_000, 300_000
+FIT_ROWS, LANDMARKS, WORDS, MEMO = 20_000, 128, 20_000, 600_000
 #: Length and gap decay of subsequences; characters of a word compared at a time, and of the overlap between two such pieces.
 ORDER, DECAY, PIECE, OVERLAP = 4, 0.8, 20, 12
 #: Words of the windows that are tried; rounds of choosing windows and training on them.
@@ -36,31 +36,34 @@ _STRIP = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum()) + "«»
 
 
 def subsequence_kernel(s: np.ndarray, t: np.ndarray, order: int = ORDER, decay: float = DECAY) -> np.ndarray:
-    """Kernel values of pairs of words, as rows of character codes; what pads differs in ``s`` and ``t``."""
+    """Kernel values of pairs of words, as rows of character codes; what pads differs in ``s`` and ``t``.
+
+    A subsequence of span a .. b counts decay ** (b - a + 1) in each word.  With decay ** -(i + j) put on the first
+    pair of characters and decay ** (i + j + 2) on the last, the sums in between are plain: for each further
+    character a running sum over both words of the matches times the sums before them.
+    """
     pairs, n = s.shape
     m = t.shape[1]
-    match = [[(s[:, i] == t[:, j]).astype(np.float32) * np.float32(decay * decay) for j in range(m)] for i in range(n)]
-    before = np.ones((n + 1, m + 1, pairs), np.float32)
+    match = (np.ascontiguousarray(s.T)[:, None, :] == np.ascontiguousarray(t.T)[None, :, :]).astype(np.float32)
+    span = (np.float32(decay) ** (np.arange(n)[:, None] + np.arange(m)).astype(np.float32))[:, :, None]
+    sums, now = match / span, np.zeros((n, m, pairs), np.float32)
     for _ in range(order - 1):
-        now = np.zeros_like(before)
-        for i in range(1, n + 1):
-            row = np.zeros(pairs, np.float32)
-            for j in range(1, m + 1):
-                row = row * np.float32(decay) + match[i - 1][j - 1] * before[i - 1, j - 1]
-                now[i, j] = now[i - 1, j] * np.float32(decay) + row
-        before = now
-    out = np.zeros(pairs, np.float32)
-    for i in range(n):
-        for j in range(m):
-            out += match[i][j] * before[i, j]
-    return out
+        for i in range(1, n):
+            sums[i] += sums[i - 1]
+        for j in range(1, m):
+            sums[:, j] += sums[:, j - 1]
+        now[1:, 1:] = sums[:-1, :-1]
+        now *= match
+        sums, now = now, sums
+        now[0], now[:, 0] = 0, 0
+    sums *= span * np.float32(decay * decay)
+    return sums.sum(axis=(0, 1))
 
 
 def _codes(words: list[str], pad: int) -> np.ndarray:
-    width = max(map(len, words), default=1)
-    out = np.full((len(words), width), pad, np.int32)
-    for i, w in enumerate(words):
-        out[i, : len(w)] = np.frombuffer(w.encode("utf-32-le", "replace"), np.int32)[:width]
+    size = np.fromiter(map(len, words), np.int64, len(words))
+    out = np.full((len(words), int(size.max(initial=1))), pad, np.int32)
+    out[np.arange(out.shape[1]) < size[:, None]] = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.int32)
     return out
 
 
@@ -97,7 +100,9 @@ class Landmarks:
         self.places = np.zeros((len(self.letters) + 1, len(words)), np.uint32)
         for k, i in zip(*np.nonzero(self.codes >= 0)):
             self.places[np.searchsorted(self.letters, self.codes[k, i]) + 1, k] |= np.uint32(1 << i)
+        #: What was asked for lately, and what was before that.
         self.memo: dict[str, float] = {}
+        self.older: dict[str, float] = {}
         self.weights, self.bias = weights, bias
 
     @staticmethod
@@ -138,8 +143,8 @@ class Landmarks:
                 own[a : a + 256] = subsequence_kernel(c, np.where(c == -1, -2, c))
             # Pairs of like lengths together, so that little is padding.
             order = np.lexsort((self.size[k], -size[w]))
-            for a in range(0, len(w), 2048):
-                o = order[a : a + 2048]
+            for a in range(0, len(w), 1024):
+                o = order[a : a + 1024]
                 p, l = w[o], k[o]
                 value = subsequence_kernel(codes[p, : size[p].max()], self.codes[l, : self.size[l].max()])
                 out[part[p], l] = value / np.maximum(np.sqrt(own[place[o]] * self.own[l]), 1e-30)
@@ -156,9 +161,12 @@ class Landmarks:
     def _worst(self, texts: list[str]) -> list[tuple[float, list[str]]]:
         """Value and tokens of the window of each text whose sum is greatest; none where no sum is over 0."""
         lists = [ordered(t) for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo.clear()
-        if new := list(set().union(*lists).difference(self.memo)):
+        if len(self.memo) > MEMO // 2:
+            self.memo, self.older = {}, self.memo
+        new = set().union(*lists).difference(self.memo)
+        known = {t: self.older[t] for t in new.intersection(self.older)}
+        self.memo.update(known)
+        if new := list(new.difference(known)):
             self.learn(new)
         look = self.memo.__getitem__
         out: list[tuple[float, list[str]]] = []
@@ -212,7 +220,13 @@ class Model:
         self.landmarks, self.weights, self.bias, self.slope, self.offset = landmarks, weights, bias, slope, offset
 
     def words(self) -> Landmarks:
-        return Landmarks(self.landmarks, self.weights, self.bias, self.windows)
+        """The landmarks and what is remembered of words; a worker's tasks share them."""
+        if not hasattr(self, "_words"):
+            self._words = Landmarks(self.landmarks, self.weights, self.bias, self.windows)
+        return self._words
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in self.__dict__.items() if k != "_words"}
 
     def score(self, margins: np.ndarray) -> np.ndarray:
         return 1 / (1 + np.exp(-np.clip(self.slope * margins + self.offset, -30, 30)))
@@ -220,13 +234,19 @@ class Model:
 
 def train_svm(x: np.ndarray, y: np.ndarray, times: np.ndarray, penalty: float = 1e-4, steps: int = 3000) -> tuple[np.ndarray, float]:
     """Linear SVM by full subgradient steps on the class-balanced hinge loss, each row counted ``times``."""
-    sign = np.where(y > 0, 1.0, -1.0)
+    # Rows that share nothing with any landmark are alike: one for each label stands for all of them.
+    some = x.any(axis=1)
+    rest = [np.flatnonzero(~some & (y > 0)), np.flatnonzero(~some & (y <= 0))]
+    take = np.concatenate([np.flatnonzero(some), *(r[:1] for r in rest)])
+    times = np.concatenate([times[some], *(times[r].sum(keepdims=True)[: len(r)] for r in rest)])
+    x, y = x[take].astype(np.float32), y[take]
+    sign = np.where(y > 0, 1.0, -1.0).astype(np.float32)
     weight = times * np.where(y > 0, 0.5 / max(1e-9, times[y > 0].sum()), 0.5 / max(1e-9, times[y <= 0].sum()))
     w, b = np.zeros(x.shape[1]), 0.0
     total, total_b, kept = np.zeros_like(w), 0.0, 0
     for t in range(steps):
-        wrong = sign * (x @ w + b) < 1
-        g = weight * wrong * sign
+        wrong = sign * (x @ w.astype(np.float32) + np.float32(b)) < 1
+        g = (weight * wrong * sign).astype(np.float32)
         rate = 4.0 / np.sqrt(t + 1)
         w = w * (1 - rate * penalty) + rate * (g @ x)
         b += rate * g.sum()
@@ -279,13 +299,18 @@ def _windows(model):
     return run
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS) -> Model | None:
-    """A model of labelled texts; None where either label is missing.  Null labels teach nothing."""
-    own = labelled.where(F.col(label).isNotNull()).select(F.col(key).alias("key"), (F.col(label) > 0).cast("int").alias("y"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    share = min(1.0, fit_rows / max(own.select(F.lit(1)).count(), 1))
+def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id", fit_rows: int = FIT_ROWS, landmarks: int = LANDMARKS) -> Model | None:
+    """A model of the texts of ``docs`` that ``labels`` marks; None where either label is missing.
+
+    Null labels and ids teach nothing; an id is toxic where any of its labels says so.  About ``fit_rows`` labelled
+    ids at most are taken, before any text is looked at, and broadcast.
+    """
+    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("key")).agg(F.max((F.col(label) > 0).cast("int")).alias("y"))
+    share = min(1.0, fit_rows / max(known.count(), 1))
     if share < 1:
-        own = own.where(F.pmod(F.xxhash64("key", F.lit("toxic")), F.lit(1_000_000)) < int(share * 1_000_000))
-    # Read three times below: the bounded sample is joined and stored once.
+        known = known.where(F.pmod(F.xxhash64("key", F.lit("toxic")), F.lit(1_000_000)) < int(share * 1_000_000))
+    own = docs.select(F.col(key).cast("long").alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(known), "key").select("key", "y", "text")
+    # Read several times below: the bounded sample is joined and stored once.
     own = stage(own, "labelled")
     totals = {r.y: r["count"] for r in own.groupBy("y").count().collect()}
     if len(totals) < 2:
@@ -308,8 +333,9 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
     w, b = train_svm(x[near] @ lift, y, np.concatenate([[r.bad for r in marked], np.ones(len(plain))])[near])
     model = Model(marks.words, lift @ w, b)
     for _ in range(ROUNDS):
-        rows = own.select("y", "text").mapInArrow(_windows(own.sparkSession.sparkContext.broadcast(model)), "y int, x array<float>").toPandas()
-        x, y = np.stack(rows["x"].to_numpy()).astype(np.float64), rows["y"].to_numpy()
+        rows = own.select("y", "text").mapInArrow(_windows(own.sparkSession.sparkContext.broadcast(model)), "y int, x array<float>").toArrow()
+        y = rows.column("y").to_numpy()
+        x = np.concatenate([np.asarray(c.flatten()) for c in rows.column("x").chunks]).reshape(len(y), -1)
         w, b = train_svm(x @ lift, y, np.ones(len(y)), steps=1000)
         model = Model(marks.words, lift @ w, b)
     shared = own.sparkSession.sparkContext.broadcast(model)
@@ -319,8 +345,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
         for part in by_bytes(batches, "text", 1 << 20):
             yield pa.RecordBatch.from_arrays([part.column("y"), pa.array(here.margins(part.column("text").to_pylist()))], names=["y", "x"])
 
-    rows = own.select("y", "text").mapInArrow(run, "y int, x double").toPandas()
-    return Model(marks.words, model.weights, model.bias, *_sigmoid(rows["x"].to_numpy(), rows["y"].to_numpy()))
+    rows = own.select("y", "text").mapInArrow(run, "y int, x double").toArrow()
+    return Model(marks.words, model.weights, model.bias, *_sigmoid(rows.column("x").to_numpy(), rows.column("y").to_numpy()))
 
 
 def score(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -348,5 +374,5 @@ def score(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "toxic").where(crc_bucket("doc_id", 4) != 2)
-    model = fit(docs.join(labels, "doc_id"))
+    model = fit(docs, labels)
     return score(docs.select("doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "text"), model)

@@ -309,7 +309,7 @@ def test_toxicity(spark, empty):
             t[3] = w if i % 8 else w[:4] + "x" + w[4:]
         rows.append((i, " ".join(t), int(i % 4 == 0)))
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    model = toxicity.fit(df.where("doc_id < 300"))
+    model = toxicity.fit(df, df.where("doc_id < 300").select("doc_id", "toxic"))
     got = {r.doc_id: r for r in toxicity.score(df.drop("toxic"), model).collect()}
     held = [r for r in rows if r[0] >= 300]
     assert np.mean([got[i].predicted == y for i, _, y in held]) > 0.95
@@ -317,7 +317,7 @@ def test_toxicity(spark, empty):
     s = {r.doc_id: r.score for r in toxicity.score(odd, model).collect()}
     assert 0 <= s[1] == s[2] < 0.3 and s[4] > s[1]
     assert toxicity.score(empty.select("doc_id", "text"), model).count() == 0
-    assert toxicity.fit(df.where("toxic = 0")) is None
+    assert toxicity.fit(df, df.where("toxic = 0")) is None and toxicity.fit(empty, df) is None
 
 
 def test_toxicity_of_two_words_together(spark):
@@ -335,7 +335,7 @@ def test_toxicity_of_two_words_together(spark):
             t[3] = "grobnik" if i % 24 == 9 else "snurkling"
         rows.append((i, " ".join(t), int(i % 4 == 0)))
     df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
-    got = {r.doc_id: r.score for r in toxicity.score(df.drop("toxic"), toxicity.fit(df)).collect()}
+    got = {r.doc_id: r.score for r in toxicity.score(df.drop("toxic"), toxicity.fit(df, df)).collect()}
     assert min(got[i] for i, _, y in rows if y) > max(got[i] for i, _, y in rows if not y)
 
 
