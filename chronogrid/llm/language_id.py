@@ -2,7 +2,8 @@
 
 A known word is scored by its log frequency in each language; an unseen word falls back to its
 character n-grams, the longest length of which any is known.  Counts come from labelled rows,
-as grouped sums in Spark; the tables kept are of bounded size and travel to the workers as one broadcast.
+as grouped sums in Spark; all counts of the bounded sample are kept and travel to the workers as one broadcast.
+Priors are the languages' shares of all labelled rows.
 """
 
 from __future__ import annotations
@@ -15,12 +16,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import by_bytes, crc_bucket, documents
 
-#: Labelled rows the model is fitted on, about (a hash sample where there are more); entries the model keeps, those
-#: of the largest share in their language first; longest n-gram; entries of a worker's memo of unseen words.
-FIT_ROWS, MODEL_ENTRIES, LONGEST, MEMO = 20_000, 200_000, 4, 200_000
+#: Labelled rows the model is fitted on, about (a hash sample in equal parts by language where there are more), which
+#: bounds the model; longest n-gram; entries of a worker's memo of unseen words.
+FIT_ROWS, LONGEST, MEMO = 6_000, 4, 200_000
 #: Weight of an unseen word's n-gram evidence against a known word's.
 BACKOFF = 0.4
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -60,24 +62,30 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 class Model:
     """Log frequencies of words and n-grams by language."""
 
-    def __init__(self, rows: list[tuple[str, int, str, int]], totals: dict[tuple[str, int], tuple[int, int]], priors: dict[str, int]):
+    def __init__(self, rows: pa.Table, priors: dict[str, int]):
+        """rows: (lang, size, gram, n), where size 0 is a word; priors: rows by language."""
         self.langs = sorted(priors)
         at = {x: i for i, x in enumerate(self.langs)}
-        size = len(self.langs)
-        floor = np.array([[-np.log(totals.get((x, k), (0, 0))[0] + totals.get((x, k), (0, 0))[1] + 1.0) for x in self.langs] for k in range(LONGEST + 1)])
-        counts: dict[tuple[int, str], np.ndarray] = {}
-        for lang, k, g, n in rows:
-            counts.setdefault((k, g), np.zeros(size))[at[lang]] = n
+        lang = np.array([at[x] for x in rows.column("lang").to_pylist()], np.int64)
+        size, n = rows.column("size").to_numpy().astype(np.int64), rows.column("n").to_numpy().astype(float)
+        place = np.empty(len(n), np.int64)
         self.word: dict[str, int] = {}
         self.gram: dict[str, int] = {}
-        table = []
-        for (k, g), c in counts.items():
-            (self.gram if k else self.word)[g] = len(table)
-            table.append(np.log(c + 0.5) + floor[k])
-        self.table = np.array(table).reshape(len(table), size)
+        for i, (k, g) in enumerate(zip(size.tolist(), rows.column("gram").to_pylist())):
+            own = self.gram if k else self.word
+            if (x := own.get(g)) is None:
+                x = own[g] = len(self.word) + len(self.gram)
+            place[i] = x
+        # By language and size: how many tokens and how many different ones, for add-a-half smoothing.
+        tokens, types = np.zeros((LONGEST + 1, len(at))), np.zeros((LONGEST + 1, len(at)))
+        np.add.at(tokens, (size, lang), n)
+        np.add.at(types, (size, lang), 1)
+        count, kind = np.zeros((len(self.word) + len(self.gram), len(at)), np.float32), np.zeros(len(self.word) + len(self.gram), np.int64)
+        count[place, lang], kind[place] = n, size
+        self.table = (np.log(count + 0.5) - np.log(tokens + types + 1.0)[kind]).astype(np.float32)
         self.prior = np.log(np.array([priors[x] for x in self.langs], float) / max(1, sum(priors.values())))
         self.memo: dict[str, int] = {}
-        self.unseen = np.zeros((MEMO, size))
+        self.unseen = np.zeros((MEMO, len(at)))
 
     def _backoff(self, word: str) -> np.ndarray:
         for k in range(min(LONGEST, len(word) + 2), 0, -1):
@@ -115,43 +123,39 @@ class Model:
         return self.langs[best], float(1 / np.exp(total - total[best]).sum())
 
 
-def fit(df: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", fit_rows: int = FIT_ROWS, entries: int = MODEL_ENTRIES) -> Model:
-    """A model of the labelled rows of ``df``; rows whose text or label is null teach nothing."""
-    usable = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull())
-    n = usable.select(F.lit(1)).count()
-    share = min(1.0, fit_rows / max(n, 1))
-    own = usable.where(F.pmod(F.xxhash64(F.col(doc_id), F.lit("fit")), F.lit(1_000_000)) < int(share * 1_000_000)) if share < 1 else usable
-    own = own.select(F.col(lang).alias("__lang"), F.col(text).alias("__text"))
-    counts = own.mapInArrow(_count, "lang string, size int, gram string, n long").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n")).persist()
-    totals = {(r.lang, r["size"]): (r.n, r.types) for r in counts.groupBy("lang", "size").agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("types")).collect()}
-    shares = counts.sparkSession.createDataFrame([(x, k, float(v[0])) for (x, k), v in totals.items()] or [("", -1, 1.0)], "lang string, size int, total double")
-    kept = counts.join(F.broadcast(shares), ["lang", "size"]).orderBy((F.col("n") / F.col("total")).desc(), "lang", "size", "gram").limit(entries)
-    rows = [tuple(r) for r in kept.select("lang", "size", "gram", "n").collect()]
-    counts.unpersist()
-    priors = {r[0]: r[1] for r in own.groupBy("__lang").count().collect()}
-    return Model(rows, totals, priors)
+def fit(df: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id", fit_rows: int = FIT_ROWS) -> Model:
+    """A model of the labelled rows of ``df``; rows whose text or label is null teach nothing.
+
+    Each language gets an equal part of ``fit_rows``, so that rare ones are learned as well.
+    """
+    usable = df.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(lang).alias("__lang"), F.col(text).alias("__text"), F.col(doc_id).alias("__id"))
+    priors = {r[0]: r[1] for r in usable.groupBy("__lang").count().collect()}
+    part = max(1, fit_rows // max(1, len(priors)))
+    shares = df.sparkSession.createDataFrame([(x, int(min(1.0, part / n) * 1_000_000)) for x, n in priors.items()] or [("", 0)], "__lang string, __share long")
+    own = usable.join(F.broadcast(shares), "__lang").where(F.pmod(F.xxhash64("__id", F.lit("fit")), F.lit(1_000_000)) < F.col("__share")).select("__lang", "__text")
+    counts = own.mapInArrow(_count, "lang string, size int, gram string, n long").groupBy("lang", "size", "gram").agg(F.sum("n").alias("n"))
+    return Model(counts.orderBy("lang", "size", "gram").toArrow(), priors)
 
 
 def identify(df: DataFrame, model: Model, text: str = "text") -> DataFrame:
-    """``df`` with lang_pred and score: the likeliest learned language and its posterior.
+    """``df`` without its text, with lang_pred and score: the likeliest learned language and its posterior.
 
     Null texts and texts without a letter, or any where nothing was learned, are ``und`` with score 0;
-    ties go to the language first by name.
+    ties go to the language first by name; repeated rows each get the same; an empty table gives an empty
+    result.  An input column that is named like a result gives way to it.
     """
     shared = df.sparkSession.sparkContext.broadcast(model)
-    fields = df.columns
+    kept = [f for f in df.schema.fields if f.name not in (text, "lang_pred", "score")]
+    names = [f.name for f in kept]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for part in by_bytes(batches, text):
             out = [own.predict(t) for t in part.column(text).to_pylist()]
-            keep = [part.column(c) for c in fields if c != text]
-            yield pa.RecordBatch.from_arrays([*keep, pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())], names=[*(c for c in fields if c != text), "lang_pred", "score"])
-
-    from pyspark.sql import types as T
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array([x[0] for x in out], pa.string()), pa.array([x[1] for x in out], pa.float64())], names=[*names, "lang_pred", "score"])
 
-    kept = [f for f in df.schema.fields if f.name != text]
-    return df.mapInArrow(run, T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]))
+    schema = T.StructType([*kept, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    return df.select(*[f"`{c}`" for c in names], text).mapInArrow(run, schema)
 
 
 def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

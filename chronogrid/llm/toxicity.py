@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import by_bytes, crc_bucket, documents, stage
 
@@ -352,11 +353,11 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", label: str = "to
 def score(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``df`` without its text, with score and predicted.
 
-    Null and empty texts get the score of a text without any match; without a model every score is 0.
+    Null and empty texts get the score of a text without any match; without a model every score is 0; repeated
+    rows each get the same; an empty table gives an empty result.  An input column that is named like a result
+    gives way to it.
     """
-    from pyspark.sql import types as T
-
-    fields = [f for f in df.schema.fields if f.name != text]
+    fields = [f for f in df.schema.fields if f.name not in (text, "score", "predicted")]
     names = [f.name for f in fields]
     shared = df.sparkSession.sparkContext.broadcast(model)
 
@@ -368,7 +369,7 @@ def score(df: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
             p = own.score(marks.margins(texts)) if own else np.zeros(len(texts))
             yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), pa.array(p.astype(np.float64)), pa.array((p >= THRESHOLD).astype(np.int32))], names=[*names, "score", "predicted"])
 
-    return df.mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
+    return df.select(*[f"`{c}`" for c in names], text).mapInArrow(run, T.StructType([*fields, T.StructField("score", T.DoubleType()), T.StructField("predicted", T.IntegerType())]))
 
 
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

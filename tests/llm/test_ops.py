@@ -317,6 +317,8 @@ def test_toxicity(spark, empty):
     s = {r.doc_id: r.score for r in toxicity.score(odd, model).collect()}
     assert 0 <= s[1] == s[2] < 0.3 and s[4] > s[1]
     assert toxicity.score(empty.select("doc_id", "text"), model).count() == 0
+    clash = toxicity.score(odd.unionAll(odd).selectExpr("*", "'x' AS score", "'y' AS predicted", "1 AS y"), model).collect()
+    assert sorted((r.doc_id, r.score, r.y) for r in clash) == sorted((i, v, 1) for i, v in s.items() for _ in (0, 1))
     assert toxicity.fit(df, df.where("toxic = 0")) is None and toxicity.fit(empty, df) is None
 
 
@@ -552,3 +554,43 @@ def test_language_id(spark, empty):
     assert [got[i].lang_pred for i in (3, 4, 5)] == ["und"] * 3 and all(0 <= r.score <= 1 for r in got.values())
     assert language_id.identify(ask, language_id.fit(empty)).where("lang_pred <> 'und'").count() == 0
     assert language_id.identify(empty.select("doc_id", "text"), model).count() == 0
+    twice = ask.unionAll(ask).selectExpr("*", "'x' AS lang_pred", "7 AS score", "8 AS n")
+    assert sorted((r.doc_id, r.lang_pred, r.score, r.n) for r in language_id.identify(twice, model).collect()) == sorted((i, r.lang_pred, r.score, 8) for i, r in got.items() for _ in (0, 1))
+
+
+def test_language_id_by_hand(spark):
+    """Posteriors against a plain version: known words, words known by n-grams of each length, and unknown ones."""
+    rows = [(1, "la casa roja de casa"), (2, "el rio verde"), (3, "the red house"), (4, "a green river the house")]
+    docs = spark.createDataFrame([(i, t, "es" if i < 3 else "en") for i, t in rows], "doc_id long, text string, lang string")
+    model = language_id.fit(docs)
+    grams = lambda w, n: [f"\x02{w}\x03"[i : i + n] for i in range(len(w) + 3 - n)]
+    count = {x: {k: Counter() for k in range(5)} for x in ("en", "es")}
+    for i, t in rows:
+        for w in t.split():
+            own = count["es" if i < 3 else "en"]
+            own[0][w] += 1
+            for k in range(1, 5):
+                own[k].update(grams(w, k))
+    chance = lambda x, k, g: math.log((count[x][k][g] + 0.5) / (sum(count[x][k].values()) + len(count[x][k]) + 1))
+    known = lambda k, g: any(count[x][k][g] for x in count)
+    for text in ("the house", "casas rojas", "zzz casa", "greenish qq", "ñ", "house casa the de"):
+        total = {x: math.log(0.5) for x in count}
+        for w in text.split():
+            for x in count:
+                if known(0, w):
+                    total[x] += chance(x, 0, w)
+                    continue
+                for k in range(4, 0, -1):
+                    if own := [g for g in grams(w, k) if known(k, g)]:
+                        total[x] += language_id.BACKOFF * sum(chance(x, k, g) for g in own) / len(own)
+                        break
+        best = max(sorted(total), key=total.get)
+        want = 1 / sum(math.exp(v - total[best]) for v in total.values())
+        got = model.predict(text)
+        assert got[0] == best and abs(got[1] - want) < 1e-5, text
+
+
+def test_language_id_learns_rare_languages(spark):
+    docs = spark.createDataFrame([(i, "the river and the lamp", "en") for i in range(600)] + [(1000 + i, "jõgi ja lamp olid seal", "et") for i in range(3)], "doc_id long, text string, lang string")
+    model = language_id.fit(docs, fit_rows=20)
+    assert model.langs == ["en", "et"] and model.predict("jõgi olid")[0] == "et" and "the" in model.word
