@@ -35,12 +35,13 @@ CACHE, CACHE_COUNT, ROUNDS, RATE = 1 << 18, 3, 3, 0.15
 #: Levels of the tree and branches of a node.
 LEVELS, WIDTH, BITS = 4, 16, 4
 #: Rows of a level's weight table: one for each TOKENS_A_ROW training tokens, within bounds; features of a history.
-TOKENS_A_ROW, LEAST_ROWS, MOST_ROWS, FEATURES = 2048, 1 << 14, 1 << 18, 4
+TOKENS_A_ROW, LEAST_ROWS, MOST_ROWS, FEATURES = 8192, 1 << 13, 1 << 17, 3
 #: Training tokens that a task takes at least, for each row of a table: what tasks send on stays a fraction of what they read.
 TASK_TOKENS = 128
 #: Bound of a weight, so that sums of FEATURES of them can't overflow.
 MOST_WEIGHT = 10.0
-_CHUNK = 1 << 14
+#: Tokens of a gradient step, for each row of a table, and those scored at a time.
+_STEP, _CHUNK = 1, 1 << 14
 _LETTERS = 257
 #: Fixed value: the closing token.
 _END = _U(0x1F83D9ABFB41BD00) | _U(7)
@@ -148,13 +149,13 @@ class Weights:
 
     @staticmethod
     def features(h: np.ndarray, to: np.ndarray) -> np.ndarray:
-        """(tokens, FEATURES) hashes of the last token, the last two, and the second and third last alone."""
+        """(tokens, FEATURES) hashes of the last token, the last two, and the second last alone."""
         code = h.view(_U)
         place = np.arange(len(h)) - np.repeat(to[:-1], np.diff(to))
-        back = [np.where(place >= k, np.concatenate([np.zeros(k, _U), code[:-k]])[: len(code)], _U(k)) for k in (1, 2, 3)]
+        back = [np.where(place >= k, np.concatenate([np.zeros(k, _U), code[:-k]])[: len(code)], _U(k)) for k in (1, 2)]
         with np.errstate(over="ignore"):
-            one, two, three = (b * m for b, m in zip(back, (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9))))
-            return np.stack([mix(one), mix(one ^ (two + _U(1))), mix(two + _U(2)), mix(three + _U(3))], axis=1)
+            one, two = (b * m for b, m in zip(back, (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F))))
+            return np.stack([mix(one), mix(one ^ (two + _U(1))), mix(two + _U(2))], axis=1)
 
     def paths(self, h: np.ndarray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(level, node, branch) along the tokens' paths."""
@@ -180,7 +181,7 @@ class Weights:
         for k in range(FEATURES):
             x += w.take(rows[:, k], axis=0)
         np.exp(x, out=x)
-        x /= x.sum(axis=1, keepdims=True)
+        x /= (x @ np.ones(WIDTH, np.float32))[:, None]
         return x
 
     def tree_log10(self, h: np.ndarray, to: np.ndarray) -> np.ndarray:
@@ -196,35 +197,23 @@ class Weights:
     def learn(self, h: np.ndarray, to: np.ndarray, squares: list[np.ndarray], used: list[np.ndarray], rate: float) -> None:
         """Gradient steps on the tokens, scaled by each weight's own past (AdaGrad)."""
         f = self.features(h, to)
-        for a in range(0, len(h), _CHUNK):
-            part = f[a : a + _CHUNK]
+        chunk = max(_CHUNK, _STEP * self.rows)
+        for a in range(0, len(h), chunk):
+            part = f[a : a + chunk]
             i = np.arange(len(part))
-            for level, node, branch in self.paths(h[a : a + _CHUNK]):
+            for level, node, branch in self.paths(h[a : a + chunk]):
                 rows = self.places(part, level, node)
                 g = self.chances(level, node, rows)
                 g[i, branch] -= 1
-                flat = rows.ravel()
-                order = _order(flat, self.rows)
-                near = flat[order]
-                cut = np.flatnonzero(np.concatenate([[True], near[1:] != near[:-1]]))
-                row = near[cut]
-                step = np.add.reduceat(g.take(order // FEATURES, axis=0), cut, axis=0)
-                past = squares[level].take(row, axis=0)
-                past += step * step
-                squares[level][row] = past
-                np.sqrt(past, out=past)
-                past += 1
+                # Sums of the gradients by row, a branch at a time; rows that weren't used get 0 and stay.
+                flat, g = rows.ravel(order="F"), g.T.astype(np.float64)
+                step = np.array([np.bincount(flat, own, self.rows) for own in np.concatenate([g] * FEATURES, axis=1)]).T.astype(np.float32, order="C")
+                squares[level] += step * step
                 step *= np.float32(-rate)
-                step /= past
-                step += self.w[level].take(row, axis=0)
-                self.w[level][row] = np.clip(step, -MOST_WEIGHT, MOST_WEIGHT, out=step)
-                used[level][row] += np.diff(np.append(cut, len(flat)))
-
-
-def _order(x: np.ndarray, limit: int) -> np.ndarray:
-    """Stable order of numbers under ``limit``: 16 bits at a time, which NumPy sorts by radix."""
-    order = np.argsort(x.astype(np.uint16), kind="stable")
-    return order if limit <= 1 << 16 else order[np.argsort((x[order] >> 16).astype(np.uint16), kind="stable")]
+                step /= np.sqrt(squares[level]) + np.float32(1)
+                step += self.w[level]
+                np.clip(step, -MOST_WEIGHT, MOST_WEIGHT, out=self.w[level])
+                used[level] += np.bincount(flat, minlength=self.rows)
 
 
 def _round(model, rate: float):

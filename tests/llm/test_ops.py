@@ -112,11 +112,6 @@ def test_lm_chances_sum_to_one():
     assert (m.leaves(h) == sum(((code >> np.uint64(4 * k)) & np.uint64(15)).astype(int) << (12 - 4 * k) for k in range(4))).all()
 
 
-def test_lm_order_of_many_rows():
-    x = np.random.default_rng(1).integers(0, 1 << 18, 5000)
-    assert (lm_score._order(x, 1 << 18) == np.argsort(x, kind="stable")).all()
-
-
 def test_ann_equals_brute_force(spark):
     rng = np.random.default_rng(3)
     x = rng.normal(size=(400, 48)).astype(np.float32)
