@@ -41,7 +41,7 @@ TASK_TOKENS = 128
 #: Bound of a weight, so that sums of FEATURES of them can't overflow.
 MOST_WEIGHT = 10.0
 #: Tokens of a gradient step, for each row of a table, and those scored at a time.
-_STEP, _CHUNK = 1, 1 << 14
+_STEP, _CHUNK = 2, 1 << 14
 _LETTERS = 257
 #: Fixed value: the closing token.
 _END = _U(0x1F83D9ABFB41BD00) | _U(7)
@@ -207,7 +207,7 @@ class Weights:
                 g[i, branch] -= 1
                 # Sums of the gradients by row, a branch at a time; rows that weren't used get 0 and stay.
                 flat, g = rows.ravel(order="F"), g.T.astype(np.float64)
-                step = np.array([np.bincount(flat, own, self.rows) for own in np.concatenate([g] * FEATURES, axis=1)]).T.astype(np.float32, order="C")
+                step = np.array([np.bincount(flat, np.concatenate([own] * FEATURES), self.rows) for own in g]).T.astype(np.float32, order="C")
                 squares[level] += step * step
                 step *= np.float32(-rate)
                 step /= np.sqrt(squares[level]) + np.float32(1)
