@@ -35,13 +35,13 @@ CACHE, CACHE_COUNT, ROUNDS, RATE = 1 << 18, 3, 3, 0.15
 #: Levels of the tree and branches of a node.
 LEVELS, WIDTH, BITS = 4, 16, 4
 #: Rows of a level's weight table: one for each TOKENS_A_ROW training tokens, within bounds; features of a history.
-TOKENS_A_ROW, LEAST_ROWS, MOST_ROWS, FEATURES = 8192, 1 << 13, 1 << 17, 3
+TOKENS_A_ROW, LEAST_ROWS, MOST_ROWS, FEATURES = 16384, 1 << 13, 1 << 17, 3
 #: Training tokens that a task takes at least, for each row of a table: what tasks send on stays a fraction of what they read.
-TASK_TOKENS = 128
+TASK_TOKENS = 256
 #: Bound of a weight, so that sums of FEATURES of them can't overflow.
 MOST_WEIGHT = 10.0
 #: Tokens of a gradient step, for each row of a table, and those scored at a time.
-_STEP, _CHUNK = 2, 1 << 14
+_STEP, _CHUNK = 1, 1 << 14
 _LETTERS = 257
 #: Fixed value: the closing token.
 _END = _U(0x1F83D9ABFB41BD00) | _U(7)
