@@ -66,7 +66,7 @@ def _set_key(values: np.ndarray) -> bytes:
 
 def _nodes(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_bytes(batches, "__text", 1 << 20):
+        for part in by_bytes(batches, "__text", 1 << 19):
             values, at = _sets(part, words)
             n = np.diff(at)
             some = np.flatnonzero(n)
@@ -159,7 +159,7 @@ def _blocks(percent: int):
 
 def _full_sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_bytes(batches, "__text", 1 << 20):
+        for part in by_bytes(batches, "__text", 1 << 19):
             values, at = _sets(part, words)
             cid, grams = [], []
             for i, (c, key) in enumerate(zip(part.column("cid").to_pylist(), part.column("key").to_pylist())):

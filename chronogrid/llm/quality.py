@@ -26,6 +26,8 @@ from .shingles import column_bytes, word_hashes
 #: Labelled documents the document classifier is fitted on, about (a hash sample of the labels where there are more);
 #: equal-width bins of each statistic; buckets of hashed words.
 FIT_ROWS, BINS, BUCKETS = 50_000, 12, 1 << 12
+#: Bytes of text that a worker takes at a time.
+SLICE = 1 << 19
 #: Probability of good quality under which a document is rejected; how much a site can move a document's log-odds.
 REJECT, SITE_WEIGHT = 0.4, 0.5
 STATISTICS = ("symbols", "capitals", "digits", "stops", "distinct", "word_length", "length")
@@ -107,7 +109,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """How many texts of each label have each bin and each word bucket."""
     size = len(STATISTICS) * BINS + BUCKETS
     n = np.zeros((2, size), np.int64)
-    for part in by_bytes(batches, "text", 2 << 20):
+    for part in by_bytes(batches, "text", SLICE):
         y = np.asarray(part.column("y")).astype(np.int64)
         b, w, at = features(*column_bytes(part.column("text")))
         for k in range(len(STATISTICS)):
@@ -121,7 +123,7 @@ def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sums(model: Evidence):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_bytes(batches, "text", 2 << 20):
+        for part in by_bytes(batches, "text", SLICE):
             x = model.sums(part.column("text"))
             yield pa.RecordBatch.from_arrays([part.column("key"), part.column("y"), pa.array(x[:, 0]), pa.array(x[:, 1])], names=["key", "y", "s", "w"])
 
@@ -191,11 +193,15 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str], text: str = "text
     model = fit(docs, known, text, doc_id)
     shape = T.StructType([docs.schema[c] for c in keep])
     site = lambda c: F.coalesce(c.cast("string"), F.lit("")) if c is not None else F.lit("")
-    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(doc_id).cast("long").alias("key"), site(host).alias("host"), site(path).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in keep]).alias("row"), F.col(doc_id).cast("long").alias("key"), site(host).alias("host"), site(path).alias("path"), *([] if text in keep else [F.col(text).cast("string").alias("text")]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in by_bytes(batches, "text", 2 << 20):
-            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("row", "key", "host", "path")), pa.array(model.log_odds(part.column("text")))], names=["row", "key", "host", "path", "odds"])
+        for batch in batches:
+            # The text goes to a worker once, by itself or in its row.
+            texts = batch.column("row").field(keep.index(text)) if text in keep else batch.column("text")
+            whole = pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("row", "key", "host", "path")), texts], names=["row", "key", "host", "path", "text"])
+            for part in by_bytes([whole], "text", SLICE):
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("row", "key", "host", "path")), pa.array(model.log_odds(part.column("text")))], names=["row", "key", "host", "path", "odds"])
 
     fields = [T.StructField("row", shape), T.StructField("key", T.LongType()), T.StructField("host", T.StringType()), T.StructField("path", T.StringType()), T.StructField("odds", T.DoubleType())]
     scored = stage(own.mapInArrow(run, T.StructType(fields)), "scored")
