@@ -290,9 +290,9 @@ def band_names(spark, sf_dir):
     return a.unionAll(b).unionAll(c)
 
 
-@_query("dense_months", f"WITH {_OBS}, p AS (SELECT DISTINCT vi, region, y, x FROM ok WHERE vi = 'NDVI'), g AS (SELECT p.*, CAST(m.m AS INTEGER) AS month FROM p, generate_series(1, 12) AS m(m)), s AS (SELECT vi, region, y, x, month(date) AS month, count(*) AS n FROM ok WHERE vi = 'NDVI' GROUP BY ALL) SELECT g.vi, g.region, g.y, g.x, g.month, s.n FROM g LEFT JOIN s USING (vi, region, y, x, month)")
+@_query("dense_months", f"WITH {_OBS}, p AS (SELECT DISTINCT vi, region, y, x FROM ok), g AS (SELECT p.*, CAST(m.m AS INTEGER) AS month FROM p, generate_series(1, 12) AS m(m)), s AS (SELECT vi, region, y, x, month(date) AS month, count(*) AS n FROM ok GROUP BY ALL) SELECT g.vi, g.region, g.y, g.x, g.month, s.n FROM g LEFT JOIN s USING (vi, region, y, x, month)")
 def dense_months(spark, sf_dir):
-    ok = _ok(spark, sf_dir).where("vi = 'NDVI'")
+    ok = _ok(spark, sf_dir)
     return raster.dense(ok.groupBy("vi", "region", "y", "x", F.month("date").alias("month")).agg(F.count(F.lit(1)).alias("n")), "month", list(range(1, 13)))
 
 

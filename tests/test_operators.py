@@ -179,3 +179,48 @@ def test_streaming_mean(spark, tmp_path):
     q.awaitTermination(120)
     got = {r.date: (r.vi_count, round(r.vi_raw, 6)) for r in spark.table("means").collect()}
     assert got[D(2020, 1, 1)] == (2, 0.3) and got[D(2020, 1, 3)] == (1, 0.5) and D(2020, 1, 9) not in got
+
+
+def test_pixel_bands_against_a_plain_version(spark):
+    """All nineteen bands, pixel by pixel and year by year; a pixel without valid values has nulls."""
+    import datetime
+    import math
+
+    import numpy as np
+
+    from chronogrid.functions import kernels
+    from chronogrid.operators import pixel
+
+    first, days = datetime.date(2019, 3, 1), 1100
+    rng = np.random.default_rng(3)
+    shapes = [lambda d: 0.5 + 0.3 * math.sin(d / 58), lambda d: 0.45 + 0.2 * math.sin(d / 29) + 0.1 * math.sin(d / 58), lambda d: 0.4, lambda d: 5.0, lambda d: 0.3 + 0.0003 * d]
+    rows = [("NDVI", "r", float(i), 1.0, first + datetime.timedelta(d), f(d) + (0.01 * float(rng.normal()) if i < 2 else 0)) for i, f in enumerate(shapes) for d in sorted({0, days - 1, *rng.choice(days, 150 if i < 4 else 18, replace=False).tolist()})]
+    df = spark.createDataFrame(rows, "vi string, region string, y double, x double, date date, value double")
+    got = {r.y: r for r in pixel.pixel_metrics(df, block=2).collect()}
+    assert len(got) == len(shapes) and all(got[3.0][b] is None for b in pixel.BANDS)
+    axis = [first + datetime.timedelta(d) for d in range(days)]
+    for i in (0, 1, 2, 4):
+        own = {(r[4] - first).days: r[5] for r in rows if r[2] == i}
+        y, w = np.zeros(days), np.zeros(days)
+        for d, v in own.items():
+            y[d], w[d] = v, 1
+        z = np.clip(kernels.whittaker(y, w, 100.0)[0], -0.1, 1.0)
+        years = []
+        for year in sorted({d.year for d in axis}):
+            at = [k for k, d in enumerate(axis) if d.year == year]
+            if len(at) < 30 or sum(w[at]) < 5:
+                continue
+            v, doy = [float(z[k]) for k in at], [axis[k].timetuple().tm_yday for k in at]
+            top, low = v.index(max(v)), v.index(min(v))
+            above = [k for k, x in enumerate(v) if x >= v[low] + 0.2 * (v[top] - v[low])] if v[top] - v[low] >= 1e-6 else []
+            n, apart, ratio, valley = kernels.bimodality(np.array(v), np.array(doy), 0.05, 45)
+            years.append(dict(peak=v[top], doy=doy[top], integral=sum((a + b) / 2 for a, b in zip(v, v[1:])), greenup=(v[top] - v[low]) / (top - low) if low < top else None, floor=v[low], season=above[-1] - above[0] if len(above) >= 2 else None, n=n, apart=apart, ratio=ratio, valley=valley))
+        of = lambda k: [q[k] for q in years if q[k] is not None]
+        mean = lambda k: sum(of(k)) / len(of(k)) if of(k) else None
+        std = lambda k: math.sqrt(sum((x - mean(k)) ** 2 for x in of(k)) / len(of(k))) if of(k) else None
+        values = list(own.values())
+        m = sum(values) / len(values)
+        want = [mean("peak"), std("peak"), mean("doy"), std("doy"), mean("integral"), std("integral"), mean("greenup"), std("greenup"), mean("floor"), mean("peak"), mean("season"), std("season"), math.sqrt(sum((x - m) ** 2 for x in values) / len(values)) / m, max(of("peak")) - min(of("peak")), std("peak"), mean("n"), mean("apart"), mean("ratio"), mean("valley")]
+        for band, x in zip(pixel.BANDS, want):
+            a = got[float(i)][band]
+            assert (a is None) == (x is None) and (x is None or math.isclose(a, x, rel_tol=1e-6, abs_tol=1e-6)), (i, band, a, x)
