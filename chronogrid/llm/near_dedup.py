@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import by_bytes, documents, spread_join, stage
+from .common import by_bytes, documents, give_back, spread_join, stage
 from .components import components
 from .shingles import column_bytes, shingle_sets
 
@@ -152,6 +152,7 @@ def _blocks(percent: int):
                     if 100 * both >= percent * (len(u[i]) + len(v[j]) - both):
                         out[0].append(a[i])
                         out[1].append(b[j])
+        give_back()
         return pa.table([pa.array(o, pa.int64()) for o in out], schema=schema)
 
     return run
