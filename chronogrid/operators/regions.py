@@ -16,26 +16,28 @@ BROADCAST_LIMIT = 32 << 20
 
 
 def read_geojson(spark: SparkSession, path: str, field: str | None = None, stem: str = "regions") -> DataFrame:
-    """region, rings (array of arrays of [x, y]), shapefile_stem: one row a feature ring set.
+    """region, polygons (arrays of rings of [x, y]), rings (of all of them), shapefile_stem: one row a region.
 
     Without ``field`` all features are one region named by ``stem``; with it they are split by its
     non-null values, and values whose labels collide fail.
     """
-    raw = spark.read.option("multiLine", "true").json(path).select(F.explode("features").alias("f"))
+    # Coordinates as text: polygons and multipolygons of one file are nested to different depths.
+    shape = "features array<struct<geometry: struct<type: string, coordinates: string>, properties: map<string, string>>>"
+    raw = spark.read.schema(shape).option("multiLine", "true").json(path).select(F.explode("features").alias("f"))
     geometry = F.col("f.geometry")
-    kind, coordinates = geometry["type"], F.to_json(geometry["coordinates"])
+    kind, coordinates = geometry["type"], geometry["coordinates"]
     polygon = F.from_json(coordinates, "array<array<array<double>>>")
-    multi = F.flatten(F.from_json(coordinates, "array<array<array<array<double>>>>"))
-    rings = F.when(kind == "Polygon", polygon).otherwise(multi)
+    polygons = F.when(kind == "Polygon", F.array(polygon)).otherwise(F.from_json(coordinates, "array<array<array<array<double>>>>"))
     if field is None:
-        out = raw.select(sanitize(F.lit(stem)).alias("region"), rings.alias("rings"))
+        out = raw.select(sanitize(F.lit(stem)).alias("region"), polygons.alias("polygons"))
     else:
-        value = F.col(f"f.properties.{field}").cast("string")
-        named = raw.where(value.isNotNull()).select(value.alias("raw"), rings.alias("rings"))
+        value = F.col("f.properties")[field]
+        named = raw.where(value.isNotNull()).select(value.alias("raw"), polygons.alias("polygons"))
         if clash := [r.label for r in collisions(named, "raw").limit(20).collect()]:
             raise ValueError(f"values of {field} that get the same label: {clash}")
-        out = named.select(sanitize("raw").alias("region"), "rings")
-    return out.groupBy("region").agg(F.flatten(F.collect_list("rings")).alias("rings")).withColumn("shapefile_stem", F.lit(stem))
+        out = named.select(sanitize("raw").alias("region"), "polygons")
+    whole = out.groupBy("region").agg(F.flatten(F.collect_list("polygons")).alias("polygons"))
+    return whole.withColumns({"rings": F.flatten("polygons"), "shapefile_stem": F.lit(stem)})
 
 
 def enumerate_regions(*frames: DataFrame) -> DataFrame:
@@ -59,7 +61,7 @@ def overlapping(tiles: DataFrame, boxes: DataFrame) -> DataFrame:
 
 
 def touches(x: np.ndarray, y: np.ndarray, rings: list[list[list[float]]], size: float) -> np.ndarray:
-    """Whether square cells around the centres touch the polygon (even-odd over all rings)."""
+    """Whether square cells around the centres touch the polygon (even-odd over its rings)."""
     half, hit, inside = size / 2, np.zeros(len(x), bool), np.zeros(len(x), bool)
     for ring in rings:
         pts = np.asarray(ring, float)
@@ -82,24 +84,26 @@ def touches(x: np.ndarray, y: np.ndarray, rings: list[list[list[float]]], size:
 
 
 def region_pixels(cells: DataFrame, regions: DataFrame, size: float = 30.0) -> DataFrame:
-    """(region, y, x) of distinct cells that touch a region.
+    """(region, y, x) of distinct cells that touch a region: any of its polygons, or its rings where it has no such column.
 
     The bounding box, a range predicate, leaves few cells; the exact test is a vectorised pass over those.
     Polygons travel once a task, and only while they are small.
     """
     spark = cells.sparkSession
-    own = regions.select("region", "rings").limit(100_001).collect()
-    weight = sum(len(ring) * 16 for r in own for ring in r.rings)
-    if weight > BROADCAST_LIMIT or len(own) > 100_000:
+    shapes = regions.select("region", (F.col("polygons") if "polygons" in regions.columns else F.array("rings")).alias("polygons"))
+    # Measured where it lies, before any of it comes to the driver.
+    size_of = F.aggregate(F.flatten("polygons"), F.lit(0).cast("long"), lambda n, ring: n + F.size(ring) * 16)
+    if (shapes.agg(F.sum(size_of + 64).alias("n")).first().n or 0) > BROADCAST_LIMIT:
         raise ValueError("region geometry is too large for one pass; split the region table")
-    shared = spark.sparkContext.broadcast({r.region: [[list(p) for p in ring] for ring in r.rings] for r in own})
+    shared = spark.sparkContext.broadcast({r.region: [[[list(p) for p in ring] for ring in polygon] for polygon in r.polygons] for r in shapes.collect()})
     half = size / 2
     near = cells.select("y", "x").distinct().join(F.broadcast(bounding_boxes(regions)), (F.col("x") >= F.col("min_x") - half) & (F.col("x") <= F.col("max_x") + half) & (F.col("y") >= F.col("min_y") - half) & (F.col("y") <= F.col("max_y") + half))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for region, part in batch.groupby("region"):
-                yield part[touches(part["x"].to_numpy(), part["y"].to_numpy(), shared.value[region], size)]
+                x, y = part["x"].to_numpy(), part["y"].to_numpy()
+                yield part[np.logical_or.reduce([touches(x, y, rings, size) for rings in shared.value[region]])]
 
     return near.select("region", "y", "x").mapInPandas(run, "region string, y double, x double")
 

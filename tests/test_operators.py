@@ -224,3 +224,19 @@ def test_pixel_bands_against_a_plain_version(spark):
         for band, x in zip(pixel.BANDS, want):
             a = got[float(i)][band]
             assert (a is None) == (x is None) and (x is None or math.isclose(a, x, rel_tol=1e-6, abs_tol=1e-6)), (i, band, a, x)
+
+
+def test_overlapping_features_of_a_region_are_a_union(spark, tmp_path):
+    import json
+
+    from chronogrid.operators import regions
+
+    square = lambda a, b: [[a, a], [b, a], [b, b], [a, b], [a, a]]
+    hole = [square(200.0, 300.0), square(220.0, 280.0)]
+    features = [{"type": "Feature", "properties": {"n": "one"}, "geometry": {"type": k, "coordinates": c}} for k, c in (("Polygon", [square(0.0, 100.0)]), ("MultiPolygon", [[square(50.0, 150.0)], hole]))]
+    (tmp_path / "r.json").write_text(json.dumps({"type": "FeatureCollection", "features": features}))
+    cells = spark.createDataFrame([(v, v) for v in (10.0, 75.0, 140.0, 180.0, 210.0, 250.0)], "y double, x double")
+    for field in (None, "n"):
+        shapes = regions.read_geojson(spark, str(tmp_path / "r.json"), field)
+        assert sorted(r.x for r in regions.region_pixels(cells, shapes, size=2.0).collect()) == [10.0, 75.0, 140.0, 210.0]
+        assert shapes.count() == 1
