@@ -46,23 +46,15 @@ def dominant_crs(df: DataFrame, group: str = "crs") -> DataFrame:
     return dominant(df, group)
 
 
-def merge_plan(n_tiles: int, n_crs: int, merge_same: bool = True, merge_cross: bool = True) -> str:
-    """single, mosaic, reproject or per_tile."""
-    if n_tiles == 1:
-        return "single"
-    if n_crs == 1:
-        return "mosaic" if merge_same else "per_tile"
-    return "reproject" if merge_cross else "per_tile"
-
-
-def bilinear(df: DataFrame, targets: DataFrame, step: float = 30.0, value: str = "value") -> DataFrame:
+def bilinear(df: DataFrame, targets: DataFrame, step: float = 30.0, value: str = "value", keys: tuple[str, ...] = ()) -> DataFrame:
     """Values at ``targets`` (ty, tx on the source grid, row keys y, x) from the four cells around each.
 
-    Null cells leave their weight to the others.  One equi-join on the four neighbours' places.
+    Null cells leave their weight to the others.  One equi-join on the four neighbours' places and on
+    ``keys``, columns of both tables.
     """
     fy, fx = F.floor(F.col("ty") / step) * step, F.floor(F.col("tx") / step) * step
     wy, wx = (F.col("ty") - fy) / step, (F.col("tx") - fx) / step
     corner = lambda dy, dx, w: F.struct((fy + dy * step).alias("cy"), (fx + dx * step).alias("cx"), w.alias("w"))
-    near = targets.withColumn("__c", F.explode(F.array(corner(0, 0, (1 - wy) * (1 - wx)), corner(0, 1, (1 - wy) * wx), corner(1, 0, wy * (1 - wx)), corner(1, 1, wy * wx)))).select("y", "x", "__c.*").where("w > 0")
-    source = df.select(F.col("y").alias("cy"), F.col("x").alias("cx"), "vi", "date", value)
-    return near.join(source, ["cy", "cx"]).groupBy("vi", "date", "y", "x").agg((F.sum(F.col("w") * F.col(value)) / F.sum(F.when(F.col(value).isNotNull(), F.col("w")))).alias(value))
+    near = targets.withColumn("__c", F.explode(F.array(corner(0, 0, (1 - wy) * (1 - wx)), corner(0, 1, (1 - wy) * wx), corner(1, 0, wy * (1 - wx)), corner(1, 1, wy * wx)))).select(*keys, "y", "x", "__c.*").where("w > 0")
+    source = df.select(F.col("y").alias("cy"), F.col("x").alias("cx"), *dict.fromkeys(["vi", *keys]), "date", value)
+    return near.join(source, [*keys, "cy", "cx"]).groupBy(*dict.fromkeys(["vi", *keys]), "date", "y", "x").agg((F.sum(F.col("w") * F.col(value)) / F.sum(F.when(F.col(value).isNotNull(), F.col("w")))).alias(value))

@@ -10,9 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.labels import collisions, sanitize
+from ..functions.projection import from_utm, to_utm
 
 #: Most bytes of region geometry that may be broadcast; more are joined by key.
 BROADCAST_LIMIT = 32 << 20
+#: How GeoJSON files name degrees on WGS 84; a file without a name is in these.
+DEGREES = ("EPSG:4326", "CRS84")
 
 
 def read_geojson(spark: SparkSession, path: str, field: str | None = None, stem: str = "regions") -> DataFrame:
@@ -40,6 +43,27 @@ def read_geojson(spark: SparkSession, path: str, field: str | None = None, stem:
     return whole.withColumns({"rings": F.flatten("polygons"), "shapefile_stem": F.lit(stem)})
 
 
+def geojson_crs(spark: SparkSession, path: str) -> str:
+    """'EPSG:4326' or the system that the file's member ``crs`` names, as 'EPSG:n'."""
+    named = spark.read.schema("crs struct<properties: struct<name: string>>").option("multiLine", "true").json(path).select("crs.properties.name").first()
+    name = (named and named[0]) or DEGREES[0]
+    code = "EPSG:" + name.rsplit(":", 1)[-1] if "EPSG" in name else name.rsplit(":", 1)[-1]
+    return DEGREES[0] if code in DEGREES else code
+
+
+def to_crs(shapes: DataFrame, source: str, target: str | None) -> DataFrame:
+    """Regions with their corners in the target's coordinates; as they are where it is unknown or the same."""
+    if not target or source == target:
+        return shapes
+
+    def moved(p):
+        lat, lon = (p[1], p[0]) if source == DEGREES[0] else from_utm(p[0], p[1], source)
+        return F.array(lon, lat) if target == DEGREES[0] else F.array(*to_utm(lat, lon, target))
+
+    polygons = F.transform("polygons", lambda polygon: F.transform(polygon, lambda ring: F.transform(ring, moved)))
+    return shapes.withColumn("polygons", polygons).withColumn("rings", F.flatten("polygons"))
+
+
 def enumerate_regions(*frames: DataFrame) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:
@@ -108,6 +132,20 @@ def region_pixels(cells: DataFrame, regions: DataFrame, size: float = 30.0) -> D
     return near.select("region", "y", "x").mapInPandas(run, "region string, y double, x double")
 
 
+def clip_to(df: DataFrame, files: list[tuple[DataFrame, str]], size: float = 30.0) -> DataFrame:
+    """Observations in the regions of ``files``, pairs of regions and their system, taken to the system of each tile.
+
+    There is a branch for each coordinate system of the observations, of which UTM bounds the number.
+    """
+    systems = [r.crs for r in df.select("crs").distinct().collect()]
+    parts = []
+    for crs in sorted(systems, key=lambda c: c or ""):
+        here = df if len(systems) == 1 else df.where(F.col("crs").eqNullSafe(F.lit(crs)))
+        shapes = enumerate_regions(*[to_crs(s, own, crs) for s, own in files])
+        parts.append(clip(here, region_pixels(here, shapes, size)))
+    return enumerate_regions(*parts) if parts else df.limit(0)
+
+
 def clip(df: DataFrame, pixels: DataFrame) -> DataFrame:
     """Observations in regions: an equi-join on the place; a cell of two regions counts in both."""
     return df.drop("region").join(pixels, ["y", "x"])

@@ -33,8 +33,11 @@ def write_csv(df: DataFrame, path: str, by: list[str] = KEYS) -> None:
 
 
 def write_cube(df: DataFrame, path: str, by: list[str] = KEYS) -> None:
-    """Parquet in time order within each index and region, so that date ranges skip row groups."""
-    df.repartition(*by).sortWithinPartitions(*by, "date", "y", "x").write.mode("overwrite").partitionBy(*by).parquet(path)
+    """Parquet in time order within each index and region, so that date ranges skip row groups.
+
+    Ranges of dates and lines, not regions, are what tasks get: one region may hold most of the rows.
+    """
+    df.repartitionByRange(*by, "date", "y").sortWithinPartitions(*by, "date", "y", "x").write.mode("overwrite").partitionBy(*by).parquet(path)
 
 
 def output_folder(base: str, region: str | None, stem: str | None = None, split: bool = False, cube: bool = False) -> str:
