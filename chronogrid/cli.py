@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .operators import aggregate, cube, filters, pixel, raster, regions
 from .params import METHODS, RASTER_RANGES, SERIES_RANGES, Params, parse_valid_range
 from .plans.series import regional_metrics, regional_series
-from .sources import observations, sinks
+from .sources import geotiff, observations, sinks
 
 
 def parser() -> argparse.ArgumentParser:
@@ -56,6 +56,7 @@ def parser() -> argparse.ArgumentParser:
         if name == "raster":
             for part in ("year", "month", "doy"):
                 p.add_argument(f"--skip-per-{part}", action="store_true")
+            p.add_argument("--geotiff-dir", help="a folder of the driver's machine for GeoTIFF files too")
     return top
 
 
@@ -165,7 +166,10 @@ def write(spark: SparkSession, a: argparse.Namespace, p: Params, out: str, log:
     else:
         for part, make in (("year", raster.per_year), ("month", raster.per_month), ("doy", raster.per_doy)):
             if not getattr(a, f"skip_per_{part}"):
-                make(ok).write.mode("overwrite").partitionBy("vi", "region").parquet(f"{out}/per_{part}")
+                made = make(ok)
+                made.write.mode("overwrite").partitionBy("vi", "region").parquet(f"{out}/per_{part}")
+                if a.geotiff_dir:
+                    geotiff.write_periods(spark.read.schema(made.schema).parquet(f"{out}/per_{part}"), part, a.geotiff_dir)
 
 
 def one_a_day(df: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import labels
-from ..operators import aggregate, climatology, filters, metrics, mosaic, pixel, raster, sampling, smooth
+from ..operators import aggregate, climatology, cube, filters, metrics, mosaic, pixel, raster, sampling, smooth
 from ..sources import sinks
 from ..sources.observations import lineitem_observations
 
@@ -356,6 +356,30 @@ def roi_polygon_clip(spark, sf_dir):
     return clip(ok, region_pixels(ok, box)).groupBy("region", "vi", "date").agg(F.count("value").alias("vi_count"), F.avg("value").alias("vi_raw"))
 
 
+# A square of 30 m meets the triangle where their boxes meet and its nearest corner lies under the slope, 4 x + y = 1200.
+@_query("roi_polygon_union", f"WITH {_OBS} SELECT 'park' AS region, vi, date, count(*) AS vi_count, round(avg(value), 6) AS vi_raw FROM ok WHERE (y BETWEEN 585 AND 915 AND x BETWEEN 45 AND 135) OR (y BETWEEN 585 AND 1215 AND x BETWEEN -15 AND 165 AND 4 * x + y - 75 <= 1200) GROUP BY ALL")
+def roi_polygon_union(spark, sf_dir):
+    from ..operators.regions import clip, region_pixels
+
+    box, triangle = [[[60.0, 600.0], [120.0, 600.0], [120.0, 900.0], [60.0, 900.0], [60.0, 600.0]]], [[[0.0, 600.0], [150.0, 600.0], [0.0, 1200.0], [0.0, 600.0]]]
+    park = spark.createDataFrame([("park", [box, triangle], box + triangle)], "region string, polygons array<array<array<array<double>>>>, rings array<array<array<double>>>")
+    ok = _ok(spark, sf_dir)
+    return clip(ok, region_pixels(ok, park)).groupBy("region", "vi", "date").agg(F.count("value").alias("vi_count"), F.round(F.avg("value"), 6).alias("vi_raw"))
+
+
+_ZONED = f"""{_OBS}, tiles AS (
+  SELECT vi, region, tile, CASE tile WHEN 'F' THEN 'EPSG:32631' ELSE 'EPSG:32632' END AS crs, min(x) AS min_x, max(y) AS max_y,
+         (round((max(y) - min(y)) / 30) + 1) * (round((max(x) - min(x)) / 30) + 1) AS cells
+  FROM obs GROUP BY vi, region, tile
+), best AS (SELECT *, row_number() OVER (PARTITION BY vi, region ORDER BY cells DESC, crs) AS place FROM tiles)"""
+
+
+@_query("cube_strategy", f"WITH {_ZONED} SELECT vi, region, count(*) AS n_tiles, count(DISTINCT crs) AS n_crs, CASE WHEN count(*) = 1 THEN 'single' WHEN count(DISTINCT crs) = 1 THEN 'mosaic' ELSE 'reproject' END AS strategy, max(crs) FILTER (place = 1) AS target, max(max_y) FILTER (place = 1) AS ref_y, max(min_x) FILTER (place = 1) AS ref_x FROM best GROUP BY vi, region")
+def cube_strategy(spark, sf_dir):
+    zoned = _obs(spark, sf_dir).withColumn("crs", F.when(F.col("tile") == "F", "EPSG:32631").otherwise("EPSG:32632"))
+    return cube.merge_plans(cube.tile_extents(zoned))
+
+
 @_query("doy_climatology", f"WITH {_LINEAR} SELECT vi, region, dayofyear(date)::INTEGER AS doy, round(avg(vi_smooth), 6) AS mean FROM curve GROUP BY ALL")
 def doy_climatology(spark, sf_dir):
     return climatology.doy_climatology(_curve(spark, sf_dir))

@@ -55,12 +55,15 @@ def test_programs(spark, tiles, tmp_path):
     obs = spark.read.option("header", True).csv(f"{out}/observations")
     assert obs.count() == 60 and {r.region for r in obs.select("region").distinct().collect()} == {"a_b"} and obs.first().vi_count == "8"
     assert spark.read.option("header", True).csv(f"{out}/metrics").count() == 2
+    combined = spark.read.option("header", True).csv(f"{out}/combined_metrics")
+    assert combined.count() == 2 and combined.first().shapefile_stem == "park"
     cli.run(spark, ["cube", *base])
     cube = spark.read.parquet(f"{out}/cubes")
     assert cube.count() == 540 and {r.tile for r in cube.select("tile").distinct().collect()} == {"T02"}
     cli.run(spark, ["pixel", *base])
     assert spark.read.parquet(f"{out}/pixel_metrics/NDVI").count() == 9
-    cli.run(spark, ["raster", *base, "--skip-per-doy"])
+    cli.run(spark, ["raster", *base, "--skip-per-doy", "--geotiff-dir", f"{out}/tif"])
+    assert {f.name for f in (tmp_path / "tif").iterdir()} == {"NDVI_full_extent_per_year.tif", "NDVI_full_extent_per_month.tif"}
     assert spark.read.parquet(f"{out}/per_month").count() == 108
 
 
