@@ -28,6 +28,8 @@ from .common import by_bytes, crc_bucket, documents, stage
 FIT_ROWS, LANDMARKS, WORDS, MEMO = 20_000, 128, 20_000, 600_000
 #: Length and gap decay of subsequences; characters of a word compared at a time, and of the overlap between two such pieces.
 ORDER, DECAY, PIECE, OVERLAP = 4, 0.8, 20, 12
+#: Words that are compared with the landmarks at once, and pairs of words in one array.
+SLICE, PAIRS = 8192, 512
 #: Words of the windows that are tried; rounds of choosing windows and training on them.
 WINDOWS, ROUNDS = (1, 2, 4, 8), 3
 #: Score from which a text counts as toxic.
@@ -84,7 +86,12 @@ def tokens(text: str) -> set[str]:
 def ordered(text: str) -> list[str]:
     """As tokens, in the text's order and as often as there; runs of single characters last."""
     low = text.lower()
-    return low.split() + ["".join(x.split()) for x in _SINGLES.findall(low)]
+    words = low.split()
+    # Such a run is three words of one character in a row at least: else the slower search finds nothing.
+    single = np.fromiter(map(len, words), np.int64, len(words)) == 1
+    if (single[2:] & single[1:-1] & single[:-2]).any():
+        words += ["".join(x.split()) for x in _SINGLES.findall(low)]
+    return words
 
 
 class Landmarks:
@@ -98,9 +105,10 @@ class Landmarks:
         self.own = np.array([self._self(w) for w in words], np.float32)
         # By character of any landmark, after a row of none: a bit for each place in each landmark.
         self.letters = np.unique(self.codes[self.codes >= 0])
-        self.places = np.zeros((len(self.letters) + 1, len(words)), np.uint32)
+        kind = np.uint16 if self.size.max(initial=0) <= 16 else np.uint32
+        self.places = np.zeros((len(self.letters) + 1, len(words)), kind)
         for k, i in zip(*np.nonzero(self.codes >= 0)):
-            self.places[np.searchsorted(self.letters, self.codes[k, i]) + 1, k] |= np.uint32(1 << i)
+            self.places[np.searchsorted(self.letters, self.codes[k, i]) + 1, k] |= kind(1 << i)
         #: What was asked for lately, and what was before that.
         self.memo: dict[str, float] = {}
         self.older: dict[str, float] = {}
@@ -117,47 +125,67 @@ class Landmarks:
         """
         at = np.minimum(np.searchsorted(self.letters, codes), max(len(self.letters) - 1, 0))
         at = np.where(self.letters[at] == codes, at + 1, 0) if len(self.letters) else np.zeros_like(codes)
-        row = np.full((len(codes), len(self.words)), np.uint32(0xFFFFFFFF))
+        kind = self.places.dtype.type
+        row = np.full((len(codes), len(self.words)), np.iinfo(kind).max, kind)
         for i in range(codes.shape[1]):
             n = int((size > i).sum())
             here = self.places[at[:n, i]]
             row[:n] = (row[:n] + (row[:n] & here)) | (row[:n] & ~here)
-        full = ((np.uint64(1) << self.size.astype(np.uint64)) - np.uint64(1)).astype(np.uint32)
+        full = ((np.uint64(1) << self.size.astype(np.uint64)) - np.uint64(1)).astype(kind)
         return np.nonzero(np.bitwise_count(~row & full) >= ORDER)
 
+    def _shared(self, words: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(word, landmark, normalised kernel) of the pairs that have a subsequence in common, some thousands of words at a time."""
+        short = [(i, k) for i, w in enumerate(words) if (k := self.short.get(w)) is not None]
+        if short:
+            i, k = np.array(short, np.int64).T
+            yield i, k, np.ones(len(short), np.float32)
+        length = np.fromiter(map(len, words), np.int64, len(words))
+        long = np.flatnonzero(length >= ORDER)
+        long = long[np.argsort(-length[long], kind="stable")]
+        for start in range(0, len(long), SLICE):
+            part = long[start : start + SLICE]
+            size, codes = length[part], _codes([words[i] for i in part], -1)
+            found = [self._related(codes[a : a + 1024, : size[a]], size[a : a + 1024]) for a in range(0, len(part), 1024)]
+            w, k = np.concatenate([x + 1024 * n for n, (x, _) in enumerate(found)]), np.concatenate([x for _, x in found])
+            own = np.zeros(len(part), np.float32)
+            some = np.flatnonzero(np.bincount(w, minlength=len(part)))
+            for a in range(0, len(some), PAIRS):
+                c = codes[some[a : a + PAIRS], : size[some[a]]]
+                own[some[a : a + PAIRS]] = subsequence_kernel(c, np.where(c == -1, -2, c))
+            # Pairs of like lengths together, so that little is padding.
+            order = np.argsort((self.size[k] - size[w] * 64).astype(np.int16), kind="stable")
+            w, k = w[order], k[order]
+            value = np.empty(len(w), np.float32)
+            for a in range(0, len(w), PAIRS):
+                p, l = w[a : a + PAIRS], k[a : a + PAIRS]
+                value[a : a + PAIRS] = subsequence_kernel(codes[p, : size[p].max()], self.codes[l, : self.size[l].max()])
+            yield part[w], k, value / np.maximum(np.sqrt(own[w] * self.own[k]), 1e-30)
+
     def kernels(self, words: list[str]) -> np.ndarray:
         """(words, landmarks) normalised kernels; 0 only where no subsequence is common."""
         out = np.zeros((len(words), len(self.words)), np.float32)
-        for i, w in enumerate(words):
-            if (k := self.short.get(w)) is not None:
-                out[i, k] = 1
-        long = np.array(sorted((i for i, w in enumerate(words) if len(w) >= ORDER), key=lambda i: -len(words[i])), np.int64)
-        for lo in range(0, len(long), 1024):
-            part = long[lo : lo + 1024]
-            codes = _codes([words[i] for i in part], -1)
-            size = (codes >= 0).sum(axis=1)
-            w, k = self._related(codes, size)
-            some, place = np.unique(w, return_inverse=True)
-            own = np.zeros(len(some), np.float32)
-            for a in range(0, len(some), 256):
-                c = codes[some[a : a + 256], : size[some[a]]]
-                own[a : a + 256] = subsequence_kernel(c, np.where(c == -1, -2, c))
-            # Pairs of like lengths together, so that little is padding.
-            order = np.lexsort((self.size[k], -size[w]))
-            for a in range(0, len(w), 1024):
-                o = order[a : a + 1024]
-                p, l = w[o], k[o]
-                value = subsequence_kernel(codes[p, : size[p].max()], self.codes[l, : self.size[l].max()])
-                out[part[p], l] = value / np.maximum(np.sqrt(own[place[o]] * self.own[l]), 1e-30)
+        for w, k, v in self._shared(words):
+            out[w, k] = v
         return out
 
     def learn(self, new: list[str]) -> None:
-        """Put tokens' values into the memo, each its greatest piece's; 0 for those that share nothing with a landmark."""
-        cut = [(t, p) for t in new for p in _pieces(t)]
-        best: dict[str, float] = {}
-        for (t, _), v in zip(cut, (self.kernels([p for _, p in cut]) @ self.weights).tolist()):
-            best[t] = max(v, best.get(t, v))
-        self.memo.update({t: best.get(t, 0.0) for t in new})
+        """Put tokens' values into the memo, each its greatest piece's; 0 for those that share nothing with a landmark.
+
+        Tokens often differ in marks around them alone: each piece's value is worked out once.
+        """
+        at: dict[str, int] = {}
+        owner, place = [], []
+        for i, t in enumerate(new):
+            for p in _pieces(t):
+                owner.append(i)
+                place.append(at.setdefault(p, len(at)))
+        value = np.zeros(len(at))
+        for w, k, v in self._shared(list(at)):
+            value += np.bincount(w, v * self.weights[k], len(at))
+        best = np.full(len(new), -np.inf)
+        np.maximum.at(best, np.array(owner, np.int64), value[np.array(place, np.int64)])
+        self.memo.update(zip(new, np.where(np.isneginf(best), 0.0, best).tolist()))
 
     def _worst(self, texts: list[str]) -> list[tuple[float, list[str]]]:
         """Value and tokens of the window of each text whose sum is greatest; none where no sum is over 0."""

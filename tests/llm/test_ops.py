@@ -317,6 +317,23 @@ def test_toxicity(spark, empty):
     assert toxicity.fit(df, df.where("toxic = 0")) is None and toxicity.fit(empty, df) is None
 
 
+def test_toxicity_works_out_a_word_once(monkeypatch):
+    """Tokens that differ in marks around them alone cost one kernel with each landmark, and long ones the greatest of their pieces."""
+    pairs, plain = [], toxicity.subsequence_kernel
+    marks = toxicity.Landmarks(["idiot", "stupid", "ass"], np.array([1.0, -0.5, 0.25]))
+    monkeypatch.setattr(toxicity, "subsequence_kernel", lambda s, t, *a: pairs.append(len(s)) or plain(s, t, *a))
+    marks.learn(["idiots"])
+    once = sum(pairs)
+    pairs.clear()
+    long = "idiots" + "x" * 40
+    marks.learn(["idiots,", "(idiots)", "idiots!", "idiots", "ass?", "?!", "lamp"])
+    assert sum(pairs) == once
+    assert marks.memo["idiots,"] == marks.memo["(idiots)"] == marks.memo["idiots"] > 0.5 and marks.memo["ass?"] == 0.25
+    assert marks.memo["?!"] == marks.memo["lamp"] == 0
+    marks.learn([long])
+    assert abs(marks.memo[long] - max((marks.kernels(toxicity._pieces(long)) @ marks.weights).tolist())) < 1e-6
+
+
 def test_toxicity_of_two_words_together(spark):
     """Words that are toxic side by side and not alone, as texts' labels say."""
     import random
